@@ -23,12 +23,12 @@ from riskweave.functions.labels import (
 )
 from riskweave.operators.ks import KS_EXACT_LIMIT, ks_pvalue_corrected, ks_pvalue_exact, ks_pvalue_limit
 from riskweave.operators.ordered import (
-    interpolate,
-    interpolated_quantile,
     long_numeric,
     long_text,
     numeric_columns,
     prefix_counts,
+    quantile_aggregates,
+    quantile_values,
     text_columns,
 )
 
@@ -137,10 +137,6 @@ def numeric_statistics(counts: DataFrame) -> DataFrame:
     prefix = prefix_counts(counts, ["feature"], "value", ["n_ref", "n_cur"])
     # the same doubles as a linspace of PSI_BINS + 1 points
     probs = [i * (1.0 / PSI_BINS) for i in range(PSI_BINS)] + [1.0]
-    deciles = []
-    for i, prob in enumerate(probs):
-        low, high, fraction = interpolated_quantile(prob, "value", "cum_n_ref", "tot_n_ref")
-        deciles += [low.alias(f"_l{i}"), high.alias(f"_h{i}"), fraction.alias(f"_f{i}")]
     gap = F.abs(_share("cum_n_ref", "tot_n_ref") - _share("cum_n_cur", "tot_n_cur"))
     stats = prefix.groupBy("feature").agg(
         F.max("tot_n_ref").alias("n_ref"),
@@ -150,11 +146,9 @@ def numeric_statistics(counts: DataFrame) -> DataFrame:
         F.sum(_psi_term(_share("n_ref", "tot_n_ref"), _share("n_cur", "tot_n_cur"))).alias("psi_values"),
         F.try_divide(F.sum(F.col("value") * F.col("n_ref")), F.max("tot_n_ref")).alias("ref_mean"),
         F.try_divide(F.sum(F.col("value") * F.col("n_cur")), F.max("tot_n_cur")).alias("curr_mean"),
-        *deciles,
-    )
-    points = F.array_distinct(
-        F.array(*[interpolate(F.col(f"_l{i}"), F.col(f"_h{i}"), F.col(f"_f{i}")) for i in range(len(probs))])
+        *quantile_aggregates(probs, "value", "cum_n_ref", "tot_n_ref"),
     )
+    points = F.expr(f"array_distinct(array({', '.join(quantile_values(len(probs)))}))")
     return stats.select(
         "feature",
         "n_ref",
@@ -174,53 +168,48 @@ def numeric_statistics(counts: DataFrame) -> DataFrame:
     ).drop("_points")
 
 
-def _bin_of(value: Column, edges: Column) -> Column:
+def _bin_of(value: str, edges: str) -> Column:
     """Number of inner edges ``<= value`` (at most ``PSI_BINS - 1`` of them)."""
-    bin_id = F.lit(0)
-    for j in range(PSI_BINS - 1):
-        bin_id = bin_id + F.coalesce((F.get(edges, F.lit(j)) <= value).cast("int"), F.lit(0))
-    return bin_id
+    reached = [f"cast(coalesce(get({edges}, {j}) <= {value}, false) as int)" for j in range(PSI_BINS - 1)]
+    return F.expr(" + ".join(reached))
+
+
+STAT_COLUMNS = ("n_ref", "n_cur", "distinct_ref", "ks", "psi_values", "ref_mean", "curr_mean")
 
 
 def binned_counts(counts: DataFrame, stats: DataFrame) -> DataFrame:
-    """``(feature, bin, b_ref, b_cur, ss_ref, ss_cur)`` with squared deviations.
+    """Counts and squared deviations per ``(feature, bin)``, with the feature's
+    statistics carried along.
 
     ``stats`` has one row per feature and is broadcast.
     """
-    joined = counts.join(
-        F.broadcast(stats.select("feature", "edges", "ref_mean", "curr_mean")), "feature"
+    joined = counts.select("feature", "value", F.col("n_ref").alias("_r"), F.col("n_cur").alias("_c")).join(
+        F.broadcast(stats), "feature"
     )
-    return joined.groupBy("feature", _bin_of(F.col("value"), F.col("edges")).alias("bin")).agg(
-        F.sum("n_ref").alias("b_ref"),
-        F.sum("n_cur").alias("b_cur"),
-        F.sum(F.col("n_ref") * F.pow(F.col("value") - F.col("ref_mean"), 2)).alias("ss_ref"),
-        F.sum(F.col("n_cur") * F.pow(F.col("value") - F.col("curr_mean"), 2)).alias("ss_cur"),
+    return joined.groupBy("feature", _bin_of("value", "edges").alias("bin")).agg(
+        F.sum("_r").alias("b_ref"),
+        F.sum("_c").alias("b_cur"),
+        F.sum(F.col("_r") * F.pow(F.col("value") - F.col("ref_mean"), 2)).alias("ss_ref"),
+        F.sum(F.col("_c") * F.pow(F.col("value") - F.col("curr_mean"), 2)).alias("ss_cur"),
+        *[F.max(c).alias(c) for c in STAT_COLUMNS],
     )
 
 
 def numeric_report(counts: DataFrame) -> DataFrame:
     """KS, PSI, means and sample deviations per numeric feature (unrounded)."""
-    stats = numeric_statistics(counts)
-    bins = binned_counts(counts, stats)
+    bins = binned_counts(counts, numeric_statistics(counts))
     term = _psi_term(_share("b_ref", "n_ref"), _share("b_cur", "n_cur"))
-    # at most PSI_BINS rows per feature on both sides from here on
-    per_feature = (
-        bins.join(F.broadcast(stats), "feature")
-        .groupBy("feature")
-        .agg(
-            F.max("n_ref").alias("n_ref"),
-            F.max("n_cur").alias("n_cur"),
-            F.max("ks").alias("ks"),
-            F.max("ref_mean").alias("ref_mean"),
-            F.max("curr_mean").alias("curr_mean"),
-            F.sqrt(F.try_divide(F.sum("ss_ref"), F.max("n_ref") - 1)).alias("ref_std"),
-            F.sqrt(F.try_divide(F.sum("ss_cur"), F.max("n_cur") - 1)).alias("curr_std"),
-            F.when(F.max("distinct_ref") > PSI_MAX_CATEGORIES, F.sum(term))
-            .otherwise(F.max("psi_values"))
-            .alias("psi"),
-        )
+    # at most PSI_BINS rows per feature from here on
+    return bins.groupBy("feature").agg(
+        F.max("n_ref").alias("n_ref"),
+        F.max("n_cur").alias("n_cur"),
+        F.max("ks").alias("ks"),
+        F.max("ref_mean").alias("ref_mean"),
+        F.max("curr_mean").alias("curr_mean"),
+        F.sqrt(F.try_divide(F.sum("ss_ref"), F.max("n_ref") - 1)).alias("ref_std"),
+        F.sqrt(F.try_divide(F.sum("ss_cur"), F.max("n_cur") - 1)).alias("curr_std"),
+        F.when(F.max("distinct_ref") > PSI_MAX_CATEGORIES, F.sum(term)).otherwise(F.max("psi_values")).alias("psi"),
     )
-    return per_feature
 
 
 def category_report(counts: DataFrame) -> DataFrame:

@@ -73,38 +73,38 @@ def prefix_counts(
     )
 
 
-def interpolated_quantile(prob: float, value: str, cum: str, total: str) -> tuple[Column, Column, Column]:
-    """Aggregates for one linear-interpolated quantile of a prefix table.
+def quantile_aggregates(probs: Sequence[float], value: str, cum: str, total: str) -> list[Column]:
+    """Aggregates for linear-interpolated quantiles of a prefix table.
 
-    Returns ``(low, high, fraction)``: the two order statistics and the weight.
-    Combine them with :func:`interpolate`.
+    Per probability ``i``: the two order statistics ``_l<i>`` and ``_h<i>`` and
+    the weight ``_f<i>``; :func:`quantile_values` combines them.
     """
-    position = (F.col(total) - 1) * F.lit(float(prob))
-    rank = F.floor(position)
-    low = F.min(F.when(F.col(cum) > rank, F.col(value)))
-    high = F.min(F.when(F.col(cum) > F.least(rank + 1, F.col(total) - 1), F.col(value)))
-    return low, high, F.max(position - rank)
+    made = []
+    for i, prob in enumerate(probs):
+        position = f"(({total} - 1) * {float(prob)!r}D)"
+        made += [
+            F.expr(f"min(case when {cum} > floor({position}) then {value} end) as _l{i}"),
+            F.expr(f"min(case when {cum} > least(floor({position}) + 1, {total} - 1) then {value} end) as _h{i}"),
+            F.expr(f"max({position} - floor({position})) as _f{i}"),
+        ]
+    return made
 
 
-def interpolate(low: Column, high: Column, fraction: Column) -> Column:
-    return F.when(fraction < 0.5, low + (high - low) * fraction).otherwise(
-        high - (high - low) * (F.lit(1.0) - fraction)
-    )
+def quantile_values(n: int) -> list[str]:
+    """SQL text of the ``n`` interpolated values of :func:`quantile_aggregates`."""
+    return [
+        f"case when _f{i} < 0.5D then _l{i} + (_h{i} - _l{i}) * _f{i} "
+        f"else _h{i} - (_h{i} - _l{i}) * (1.0D - _f{i}) end"
+        for i in range(n)
+    ]
 
 
 def quantiles_of_prefix(prefix: DataFrame, keys: Sequence[str], value: str, count: str, probs: Sequence[float]) -> DataFrame:
     """``(keys, n, q0, q1, ...)`` from a prefix table."""
-    cum, total = f"cum_{count}", f"tot_{count}"
-    aggregates = [F.max(total).alias("n")]
-    for i, prob in enumerate(probs):
-        low, high, fraction = interpolated_quantile(prob, value, cum, total)
-        aggregates += [low.alias(f"_l{i}"), high.alias(f"_h{i}"), fraction.alias(f"_f{i}")]
-    stats = prefix.groupBy(*keys).agg(*aggregates)
-    return stats.select(
-        *keys,
-        "n",
-        *[interpolate(F.col(f"_l{i}"), F.col(f"_h{i}"), F.col(f"_f{i}")).alias(f"q{i}") for i in range(len(probs))],
-    )
+    aggregates = quantile_aggregates(probs, f"`{value}`", f"cum_{count}", f"tot_{count}")
+    stats = prefix.groupBy(*keys).agg(F.max(f"tot_{count}").alias("n"), *aggregates)
+    values = [F.expr(f"{text} as q{i}") for i, text in enumerate(quantile_values(len(probs)))]
+    return stats.select(*keys, "n", *values)
 
 
 def exact_quantiles(rows: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
