@@ -91,12 +91,8 @@ def sample_with_replacement(df: DataFrame, key: Sequence[str], n: int, seed: str
     digest_table = df.select("*", key_digest(key, seed).alias("_d"))
     coded = dense_codes(digest_table, [], "_d")
     rows = df.agg(F.count(F.lit(1))).scalar()
-    draws = (
-        spark.range(n)
-        .select(F.pmod(F.xxhash64(F.col("id"), F.lit(seed)), rows).alias("code"))
-        .groupBy("code")
-        .agg(F.count(F.lit(1)).alias("_times"))
-    )
+    drawn = digest_number(key_digest([F.concat(F.lit("draw"), F.col("id").cast("string"))], seed), 12)
+    draws = spark.range(n).groupBy(F.pmod(drawn, rows).alias("code")).agg(F.count(F.lit(1)).alias("_times"))
     repeated = coded.join(draws, "code").withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times"))))
     return repeated.select(*df.columns)
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskweave.functions.encoding import CUSTOMER_CODES, map_encode
+
 CUTOFF = "2000-08-01"
 SIDE_CUTOFF = "2024-01-16"
 LABEL = "churn"
@@ -79,6 +81,26 @@ def scored_customers(spark: SparkSession, folder: str) -> DataFrame:
     return customer_features(spark, folder).withColumn("p", F.round(1 / (1 + F.exp(z)), 6))
 
 
+def customer_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The customers in the columns of the churn table, with a key."""
+    return customer_features(spark, folder).select(
+        "c_custkey",
+        F.col("tenure_days").alias("Age"),
+        F.col("frequent").alias("FrequentFlyer"),
+        F.col("balance_class").alias("AnnualIncomeClass"),
+        F.col("n_priorities").alias("ServicesOpted"),
+        F.col("has_urgent").alias("AccountSyncedToSocialMedia"),
+        F.col("has_open").alias("BookedHotelOrNot"),
+        F.col(LABEL).alias("Target"),
+    )
+
+
+def customer_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with the fixed category codes."""
+    df = customer_table(spark, folder)
+    return df.withColumns({c: map_encode(F.col(c), m) for c, m in CUSTOMER_CODES.items()})
+
+
 def event_periods(spark: SparkSession, folder: str) -> DataFrame:
     """Events with the side column; the current side starts at SIDE_CUTOFF."""
     return load(spark, folder, "events").select(
@@ -157,6 +179,19 @@ SQL = {
       scored_customers AS (
         SELECT *, round(1 / (1 + exp(n_orders / CAST(5.0 AS DOUBLE) - 1 - c_acctbal / CAST(10000.0 AS DOUBLE))), 6) AS p
         FROM customer_features)""",
+    "customer_table": """
+      customer_table AS (
+        SELECT c_custkey, tenure_days AS "Age", frequent AS "FrequentFlyer", balance_class AS "AnnualIncomeClass",
+               n_priorities AS "ServicesOpted", has_urgent AS "AccountSyncedToSocialMedia",
+               has_open AS "BookedHotelOrNot", churn AS "Target"
+        FROM customer_features)""",
+    "customer_codes": """
+      customer_codes AS (
+        SELECT c_custkey, "Age", CASE WHEN "FrequentFlyer" = 'Yes' THEN 1 ELSE 0 END AS "FrequentFlyer",
+               CASE "AnnualIncomeClass" WHEN 'Middle Income' THEN 1 WHEN 'High Income' THEN 2 ELSE 0 END AS "AnnualIncomeClass",
+               "ServicesOpted", CASE WHEN "AccountSyncedToSocialMedia" = 'Yes' THEN 1 ELSE 0 END AS "AccountSyncedToSocialMedia",
+               CASE WHEN "BookedHotelOrNot" = 'No' THEN 1 ELSE 0 END AS "BookedHotelOrNot", "Target"
+        FROM customer_table)""",
     "event_periods": f"""
       event_periods AS (
         SELECT event_id, ts, user_id, event_type, value, CAST(json_extract_string(props, '$.k') AS INT) AS k,
@@ -182,6 +217,8 @@ SQL = {
 _NEEDS = {
     "customer_nulls": ["customer_features"],
     "scored_customers": ["customer_features"],
+    "customer_table": ["customer_features"],
+    "customer_codes": ["customer_features", "customer_table"],
     "event_shifted": ["event_periods"],
 }
 

@@ -12,7 +12,7 @@ import riskweave
 # installed copy of this package.
 cloudpickle.register_pickle_by_value(riskweave)
 
-AREAS = ("drift",)
+AREAS = ("drift", "profiling", "preparing", "splitting")
 
 
 def _merged(attribute: str) -> dict:

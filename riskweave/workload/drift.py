@@ -2,34 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.operators import drift
-from riskweave.operators.ks import ks_pvalue_limit
 from riskweave.plans import views
 from riskweave.plans.views import with_views
 from riskweave.session import new_path
 from riskweave.sources import tables
+from riskweave.workload.common import rounded
 
 FEATURES = ["value", "k", "event_type"]
 
 
-def _rounded(df: DataFrame, digits: int = 6, only: list[str] | None = None) -> DataFrame:
-    names = only or [n for n, t in df.dtypes if t == "double"]
-    return df.withColumns({n: F.round(n, digits) for n in names})
-
-
 def value_shares(spark, sf):
-    return _rounded(drift.value_shares(drift.category_counts(views.event_periods(spark, sf), ["event_type"])), 6)
+    return rounded(drift.value_shares(drift.category_counts(views.event_periods(spark, sf), ["event_type"])), 6)
 
 
 def psi_categorical(spark, sf):
-    return _rounded(drift.psi_by_value(drift.category_counts(views.event_shifted(spark, sf), ["event_type"])))
+    return rounded(drift.psi_by_value(drift.category_counts(views.event_shifted(spark, sf), ["event_type"])))
 
 
 def tv_distance(spark, sf):
-    return _rounded(drift.total_variation(drift.category_counts(views.event_shifted(spark, sf), ["event_type"])))
+    return rounded(drift.total_variation(drift.category_counts(views.event_shifted(spark, sf), ["event_type"])))
 
 
 def _numeric_report(spark, sf, view):
@@ -37,21 +31,21 @@ def _numeric_report(spark, sf, view):
 
 
 def ks_statistic(spark, sf):
-    return _rounded(_numeric_report(spark, sf, views.event_shifted).select("feature", "n_ref", "n_cur", "ks"))
+    return rounded(_numeric_report(spark, sf, views.event_shifted).select("feature", "n_ref", "n_cur", "ks"))
 
 
 def ks_pvalue_asym(spark, sf):
     df = drift.with_ks_pvalue(_numeric_report(spark, sf, views.event_periods), "limit")
-    return _rounded(df.select("feature", "ks", "p_value"))
+    return rounded(df.select("feature", "ks", "p_value"))
 
 
 def ks_pvalue_auto(spark, sf):
     df = drift.with_ks_pvalue(_numeric_report(spark, sf, views.event_periods), "auto")
-    return _rounded(df.select("feature", "n_ref", "n_cur", "ks", "p_value"))
+    return rounded(df.select("feature", "n_ref", "n_cur", "ks", "p_value"))
 
 
 def psi_numeric(spark, sf):
-    return _rounded(_numeric_report(spark, sf, views.event_shifted).select("feature", "psi"))
+    return rounded(_numeric_report(spark, sf, views.event_shifted).select("feature", "psi"))
 
 
 def psi_level(spark, sf):
@@ -110,19 +104,19 @@ def chi_square_fit(spark, sf):
     other = drift.chi_square_fit(drift.category_counts(views.event_shifted(spark, sf), ["event_type"])).withColumn(
         "feature", F.lit("event_type")
     )
-    return _rounded(
+    return rounded(
         same.unionByName(other).select("feature", "chi_square", "dof", "p_value", "status", "drift_detected"), 4
     )
 
 
 def chi_square_homog(spark, sf):
     df = drift.chi_square_homogeneity(drift.category_counts(views.event_periods(spark, sf), ["event_type"]))
-    return _rounded(df.select("feature", "chi_square", "dof", "p_value", "drift_detected"), 4)
+    return rounded(df.select("feature", "chi_square", "dof", "p_value", "drift_detected"), 4)
 
 
 def drift_monitor(spark, sf):
     df = drift.drift_monitor(views.event_shifted(spark, sf), [*FEATURES, "absent"], p_mode="limit")
-    return _rounded(df, 4)
+    return rounded(df, 4)
 
 
 def drift_source_gate(spark, sf):
