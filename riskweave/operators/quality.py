@@ -163,36 +163,38 @@ def unpivot_slices(df: DataFrame, slices: dict[str, Column], keep: Sequence[str]
     return df.select(*keep, F.explode(F.array(*structs)).alias("_s")).select("_s.*", *keep)
 
 
-def sliced_metrics(df: DataFrame, slices: dict[str, Column], label: str, score: str, threshold: float) -> DataFrame:
-    """Size, label share, AUC, recall and precision per customer group."""
-    long = unpivot_slices(df, slices, [label, score]).filter(
-        F.col("slice_value").isNotNull() & F.col(score).isNotNull() & F.col(label).isNotNull()
-    )
-    keys = ["slice", "slice_value"]
-    counts = (
-        long.groupBy(*keys, F.col(score).cast("double").alias("score"))
-        .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
-        .filter("pos + neg > 0")
-    )
-    prefix = prefix_counts(counts, keys, "score", ["pos", "neg"])
+def grouped_quality(df: DataFrame, keys: Sequence[str], label: str, score: str, threshold: Column | float) -> DataFrame:
+    """Every metric per group from one ordered pass over the distinct scores.
+
+    ``threshold`` is a number or an expression over the keys.
+    """
+    keys = list(keys)
+    prefix = prefix_counts(_score_counts(df, label, score, keys), keys, "score", ["pos", "neg"])
     below = F.col("cum_neg") - F.col("neg") + F.col("neg") / 2.0
     hit = F.col("score") >= threshold
     sums = prefix.groupBy(*keys).agg(
-        F.max("tot_pos").alias("_P"),
-        F.max("tot_neg").alias("_N"),
+        F.max("tot_pos").alias("n_pos"),
+        F.max("tot_neg").alias("n_neg"),
         F.sum(F.col("pos") * below).alias("_u"),
         F.coalesce(F.sum(F.when(hit, F.col("pos"))), F.lit(0)).alias("tp"),
         F.coalesce(F.sum(F.when(hit, F.col("neg"))), F.lit(0)).alias("fp"),
     )
-    m = metrics_of_counts(F.col("tp"), F.col("fp"), F.col("_P") - F.col("tp"), F.col("_N") - F.col("fp"))
-    n = F.col("_P") + F.col("_N")
+    m = metrics_of_counts(F.col("tp"), F.col("fp"), F.col("n_pos") - F.col("tp"), F.col("n_neg") - F.col("fp"))
+    n = F.col("n_pos") + F.col("n_neg")
     return sums.select(
         *keys,
         n.alias("n"),
-        F.try_divide(F.col("_P").cast("double"), n.cast("double")).alias("churn_rate"),
-        F.try_divide(F.col("_u"), F.col("_P").cast("double") * F.col("_N")).alias("roc_auc"),
-        m["recall"].alias("recall"),
-        m["precision"].alias("precision"),
+        F.try_divide(F.col("n_pos").cast("double"), n.cast("double")).alias("churn_rate"),
+        F.try_divide(F.col("_u"), F.col("n_pos").cast("double") * F.col("n_neg")).alias("roc_auc"),
+        *[c.alias(k) for k, c in m.items()],
+    )
+
+
+def sliced_metrics(df: DataFrame, slices: dict[str, Column], label: str, score: str, threshold: float) -> DataFrame:
+    """Size, label share, AUC, recall and precision per customer group."""
+    long = unpivot_slices(df, slices, [label, score])
+    return grouped_quality(long, ["slice", "slice_value"], label, score, threshold).select(
+        "slice", "slice_value", "n", "churn_rate", "roc_auc", "recall", "precision"
     )
 
 
