@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from riskweave.functions.binning import right_closed_band
 from riskweave.operators.ordered import exact_quantiles, long_numeric, numeric_columns
+from riskweave.session import broadcast_if_small
 
 AGE_EDGES = [0, 25, 35, 45, 55, 100]
 AGE_LABELS = ["18-25", "26-35", "36-45", "46-55", "55+"]
@@ -166,7 +167,7 @@ def box_stats(df: DataFrame, value: str, group: str) -> DataFrame:
     inside = F.col("_v").between(F.col("q1") - 1.5 * spread, F.col("q3") + 1.5 * spread)
     counted = rows.groupBy(group, "_v").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 0")
     return (
-        counted.join(quartiles, group)
+        counted.join(broadcast_if_small(quartiles), group)
         .groupBy(group)
         .agg(
             F.max("n").alias("n"),

@@ -144,15 +144,26 @@ def threshold_sweep(df: DataFrame, label: str, score: str, keys: Sequence[str] =
     return counted.select(*keys, "threshold_id", "threshold", "tp", "fp", *[c.alias(k) for k, c in m.items()])
 
 
-def best_threshold(sweep: DataFrame, metric: str = "f1_score", keys: Sequence[str] = ()) -> DataFrame:
-    """First threshold with the highest score; 0.5 when every score is 0."""
+def best_threshold(sweep: DataFrame, metric: str | Sequence[str] = "f1_score", keys: Sequence[str] = ()) -> DataFrame:
+    """First threshold with the highest score; 0.5 when every score is 0.
+
+    Several metrics are answered in one aggregation, one row each.
+    """
+    names = [metric] if isinstance(metric, str) else list(metric)
     best = sweep.groupBy(*keys).agg(
-        F.max_by(F.struct("threshold", metric), F.struct(F.col(metric), -F.col("threshold_id"))).alias("_b")
+        *[
+            F.max_by(F.struct("threshold", F.col(m).alias("score")), F.struct(F.col(m), -F.col("threshold_id"))).alias(f"_{m}")
+            for m in names
+        ]
+    )
+    rows = F.explode(
+        F.array(*[F.struct(F.lit(m).alias("metric"), F.col(f"_{m}").alias("b")) for m in names])
     )
-    score = F.col("_b")[metric]
-    return best.select(
+    score = F.col("_m.b.score")
+    return best.select(*keys, rows.alias("_m")).select(
         *keys,
-        F.when(score > 0, F.col("_b")["threshold"]).otherwise(DEFAULT_THRESHOLD).alias("threshold"),
+        "_m.metric",
+        F.when(score > 0, F.col("_m.b.threshold")).otherwise(DEFAULT_THRESHOLD).alias("threshold"),
         F.coalesce(score, F.lit(0.0)).alias("score"),
     )
 

@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from riskweave.functions.hashing import digest_number, hash_mod, key_digest
 from riskweave.operators.ordered import dense_codes
+from riskweave.session import broadcast_if_small
 
 HEAD_DIGITS = 4  # 65 536 digest buckets
-BROADCAST_LABELS = 1_000
 
 
 def hash_split(df: DataFrame, key: Sequence[str], test_share: float = 0.2, seed: str = "") -> DataFrame:
@@ -47,6 +47,8 @@ def _cuts(df: DataFrame, key: Sequence[str], strata: Sequence[str], wanted: Colu
         .select(*strata, "_h", (F.col("_k") - (F.col("_upto") - F.col("_c"))).alias("_r"))
     )
     renamed = placed.select(*[F.col(s).alias(f"_s{i}") for i, s in enumerate(strata)], F.col("_h").alias("_hh"), "_r")
+    # one row per stratum; a single row when there are no strata
+    renamed = broadcast_if_small(renamed) if strata else F.broadcast(renamed)
     same = [heads[s].eqNullSafe(renamed[f"_s{i}"]) for i, s in enumerate(strata)]
     condition = heads["_h"] == renamed["_hh"]
     for c in same:
@@ -66,12 +68,10 @@ def stratified_split(
     """Add ``is_test``: exactly ``ceil(n * test_share)`` rows of each label.
 
     ``key`` has to identify a row. Each row compares its digest with the cut of
-    its label, so with up to ``BROADCAST_LABELS`` labels no row is shuffled.
+    its label; the few cuts are broadcast, so no row is shuffled.
     """
     cuts = _cuts(df, key, [label], F.ceil(F.col("_n") * F.lit(test_share)), seed)
-    few = cuts.limit(BROADCAST_LABELS + 1).collect()
-    if len(few) <= BROADCAST_LABELS:
-        cuts = F.broadcast(df.sparkSession.createDataFrame(few, cuts.schema))
+    cuts = broadcast_if_small(cuts)
     return (
         df.join(cuts, df[label].eqNullSafe(cuts["_s0"]), "left")
         .withColumn("is_test", F.coalesce(key_digest(key, seed) <= F.col("_cut"), F.lit(False)))

@@ -29,6 +29,7 @@ from riskweave.operators.profile import class_weights
 VECTOR, LABEL, WEIGHT, FOLD = "features", "label", "weight", "fold"
 SEED = 42
 NEIGHBOURS = 5
+MAX_CLASSES = 100
 
 
 @dataclass(frozen=True)
@@ -56,7 +57,10 @@ def assemble(df: DataFrame, key: str, label: str, feature_names: Sequence[str])
 
     The classes of a label are few: their weights become one expression.
     """
-    weights = {r[label]: r["class_weight"] for r in class_weights(df, label).collect()}
+    classes = class_weights(df, label).limit(MAX_CLASSES + 1).collect()
+    if len(classes) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+    weights = {r[label]: r["class_weight"] for r in classes}
     weight = F.lit(1.0)
     for value, w in weights.items():
         weight = F.when(F.col(label) == value, F.lit(float(w))).otherwise(weight)
@@ -82,7 +86,7 @@ def plain_specs(n_rows: int, sizes: Sizes = Sizes()) -> dict[str, Estimator]:
         "RandomForest": RandomForestClassifier(numTrees=sizes.trees, maxDepth=min(sizes.balanced_depth * 2, 20), seed=SEED, **_common(False)),
         "GradientBoosting": GBTClassifier(maxIter=sizes.rounds, maxDepth=3, stepSize=0.1, seed=SEED, **_common(False)),
         "BoostedDeep": GBTClassifier(maxIter=sizes.rounds, maxDepth=sizes.boost_depth + 1, stepSize=0.3, seed=SEED, **_common(False)),
-        "LinearSVC": LinearSVC(maxIter=min(sizes.iterations, 200), **_common(False)),
+        "LinearSVC": LinearSVC(maxIter=max(5, min(sizes.iterations // 10, 100)), **_common(False)),
     }
 
 

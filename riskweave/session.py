@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 10_000
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "riskweave") -> SparkSession:
@@ -48,10 +51,23 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df, name: str):
+def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts the lineage,
     survives lost executors and gives the planner its true size."""
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A lookup table ready to be joined to a large one.
+
+    Up to ``max_rows`` rows (checked, never assumed) it is fetched and
+    broadcast, so the large side is not shuffled. A larger one is written out
+    and joined without a hint: the planner sees its size and splits hot keys.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) <= max_rows:
+        return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    return materialize(df, "lookup")

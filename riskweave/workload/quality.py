@@ -63,10 +63,7 @@ def threshold_sweep_groups(spark, sf):
 
 def best_threshold(spark, sf):
     sweep = quality.threshold_sweep(_scored(spark, sf), "churn", "p")
-    parts = [
-        quality.best_threshold(sweep, m).withColumn("metric", F.lit(m)) for m in ("f1_score", "recall", "precision")
-    ]
-    return rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    return rounded(quality.best_threshold(sweep, ["f1_score", "recall", "precision"]))
 
 
 def apply_threshold(spark, sf):
