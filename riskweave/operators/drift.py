@@ -597,6 +597,19 @@ def latest(history: DataFrame, timestamp: str, keys: Sequence[str] = ()) -> Data
     return newest.select(*keys, *[F.col("_row")[c].alias(c) for c in others])
 
 
+def current_status(alerts: DataFrame, summaries: DataFrame, language: str = "en") -> DataFrame:
+    """One row: the newest alert, else the newest summary, else "no data"."""
+    fields = ["timestamp", "drift_detected", "message"]
+    nothing = {"en": "No drift data", "ru": "Нет данных о дрейфе"}[language]
+    empty = alerts.sparkSession.createDataFrame([(None, False, nothing)], "timestamp string, drift_detected boolean, message string")
+    ranked = (
+        alerts.select(*fields, F.lit(2).alias("_p"))
+        .unionByName(summaries.select("timestamp", F.col("alert").alias("drift_detected"), "message", F.lit(1).alias("_p")))
+        .unionByName(empty.select("*", F.lit(0).alias("_p")))
+    )
+    return ranked.agg(F.max_by(F.struct(*fields), F.struct("_p", "timestamp")).alias("_r")).select("_r.*")
+
+
 def newest_first(history: DataFrame, timestamp: str, limit: int = 10, tie: Sequence[str] = ()) -> DataFrame:
     return history.orderBy(F.col(timestamp).desc(), *[F.col(t) for t in tie]).limit(limit)
 

@@ -9,6 +9,7 @@ become a literal map, large ones a join.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -116,11 +117,30 @@ def standard_scale(df: DataFrame, stats: Mapping[str, tuple[float, float]]) -> D
 
 
 def sorted_dictionary(df: DataFrame, columns: Sequence[str], null_text: str | None = NULL_TEXT) -> DataFrame:
-    """``(feature, value, code)``, codes by ascending text. Null counts as the
-    text ``null_text`` (or is left out when that is None)."""
-    source = df if null_text is None else df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit(null_text)) for c in columns})
-    values = long_text(source, columns).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 0")
-    return materialize(dense_codes(values.select("feature", "value"), ["feature"], "value"), "dictionary")
+    """``(feature, value, code, n)``, codes by ascending text. Null counts as
+    the text ``null_text`` (or is left out when that is None); ``n`` is how
+    often the value itself occurs, so the mode needs no second look at the rows.
+    """
+    marked = df.select(
+        *[F.col(c).cast("string").alias(c) for c in columns]
+        if null_text is None
+        else [F.coalesce(F.concat(F.lit("v"), F.col(c).cast("string")), F.lit("n" + null_text)).alias(c) for c in columns]
+    )
+    values = long_text(marked, columns).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")).filter("n > 0")
+    if null_text is not None:
+        real = F.when(F.substring("value", 1, 1) == "v", F.col("n")).otherwise(0)
+        values = values.groupBy("feature", F.expr("substring(value, 2)").alias("value")).agg(F.sum(real).alias("n"))
+        values = values.filter("n >= 0")
+    return materialize(dense_codes(values, ["feature"], "value").select("feature", "value", "code", "n"), "dictionary")
+
+
+def modes_of_dictionary(dictionary: DataFrame) -> dict[str, str]:
+    best = (
+        dictionary.filter("n > 0")
+        .groupBy("feature")
+        .agg(F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode"))
+    )
+    return {r["feature"]: r["mode"] for r in best.collect()}
 
 
 def first_seen_dictionary(df: DataFrame, columns: Sequence[str], order_key: str) -> DataFrame:
@@ -136,8 +156,25 @@ def first_seen_dictionary(df: DataFrame, columns: Sequence[str], order_key: str)
     return materialize(coded, "dictionary")
 
 
+def literal_codes(dictionary: DataFrame, columns: Sequence[str]) -> dict[str, dict[str, int] | None]:
+    """Map per column, or None where there are more than ``LITERAL_CODES``
+    values. Codes are dense, so one bounded fetch answers both questions."""
+    maps: dict[str, dict[str, int] | None] = {c: {} for c in columns}
+    for r in dictionary.filter((F.col("code") <= LITERAL_CODES) & F.col("feature").isin(list(columns))).collect():
+        if r["code"] == LITERAL_CODES:
+            maps[r["feature"]] = None
+        elif maps[r["feature"]] is not None:
+            maps[r["feature"]][r["value"]] = r["code"]
+    return maps
+
+
 def apply_dictionary(
-    df: DataFrame, dictionary: DataFrame, columns: Sequence[str], null_text: str | None = None, default: int = 0
+    df: DataFrame,
+    dictionary: DataFrame,
+    columns: Sequence[str],
+    null_text: str | None = None,
+    default: int = 0,
+    maps: Mapping[str, dict[str, int] | None] | None = None,
 ) -> DataFrame:
     """Replace texts by codes; unseen values and nulls get ``default``.
 
@@ -145,18 +182,15 @@ def apply_dictionary(
     projection. Larger ones are joined; the dictionary has unique keys, the
     planner picks broadcast or a skew-safe merge join from its real size.
     """
-    sizes = {r["feature"]: r["n"] for r in dictionary.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
-    small = [c for c in columns if sizes.get(c, 0) <= LITERAL_CODES]
-    maps: dict[str, dict[str, int]] = {c: {} for c in small}
-    for r in dictionary.filter(F.col("feature").isin(small)).collect():
-        maps[r["feature"]][r["value"]] = r["code"]
+    maps = literal_codes(dictionary, columns) if maps is None else maps
 
     def text(c: str):
         value = F.col(c).cast("string")
         return value if null_text is None else F.coalesce(value, F.lit(null_text))
 
     order = df.columns
-    out = df.withColumns({c: map_encode(text(c), m, default) for c, m in maps.items()}) if maps else df
+    small = {c: map_encode(text(c), maps[c], default) for c in columns if maps.get(c) is not None}
+    out = df.withColumns(small) if small else df
     for c in columns:
         if c in small:
             continue
@@ -219,17 +253,24 @@ class Preprocessor:
     modes: dict[str, str] = field(default_factory=dict)
     scale: dict[str, tuple[float, float]] = field(default_factory=dict)
     dictionary: DataFrame | None = None
+    codes: dict[str, dict[str, int] | None] = field(default_factory=dict)
 
     def fit(self, df: DataFrame, label: str | None = "Target") -> Preprocessor:
         self.label = label
         self.text = text_columns(df, [label] if label else [])
         self.numeric = numeric_columns(df, [label] if label else [])
         self.feature_names = [c for c in df.columns if c != label]
-        self.medians = fit_medians(df, self.numeric)
-        self.modes = fit_modes(df, self.text)
-        self.scale = fit_scale(df, self.numeric)
-        coded = [c for c in self.text if c not in self.mappings]
-        self.dictionary = sorted_dictionary(df, coded) if coded else None
+        # three independent jobs that share the cluster; one look at the texts
+        # gives both the codes and the modes
+        with ThreadPoolExecutor(max_workers=3) as pool:
+            medians = pool.submit(fit_medians, df, self.numeric)
+            scale = pool.submit(fit_scale, df, self.numeric)
+            texts = pool.submit(sorted_dictionary, df, self.text) if self.text else None
+            self.medians, self.scale = medians.result(), scale.result()
+            self.dictionary = texts.result() if texts else None
+        if self.dictionary is not None:
+            self.modes = modes_of_dictionary(self.dictionary)
+            self.codes = literal_codes(self.dictionary, [c for c in self.text if c not in self.mappings])
         return self
 
     def transform(self, df: DataFrame, impute_from: str = "fitted", keep: Sequence[str] = ()) -> DataFrame:
@@ -251,7 +292,7 @@ class Preprocessor:
             out = out.withColumns(mapped)
         coded = [c for c in self.text if c not in self.mappings]
         if coded and self.dictionary is not None:
-            out = apply_dictionary(out, self.dictionary, coded)
+            out = apply_dictionary(out, self.dictionary, coded, maps=self.codes)
         return standard_scale(out, self.scale).select(*keep, *self.feature_names)
 
     def fit_transform(self, df: DataFrame, label: str | None = "Target") -> DataFrame:
@@ -275,7 +316,7 @@ class Preprocessor:
         )
         dictionary = self.dictionary
         if dictionary is None:
-            dictionary = spark.createDataFrame([], "feature string, value string, code bigint")
+            dictionary = spark.createDataFrame([], "feature string, value string, code bigint, n bigint")
         dictionary.write.mode("overwrite").parquet(f"{path}/dictionary")
 
     @classmethod
@@ -300,4 +341,5 @@ class Preprocessor:
         for r in spark.read.parquet(f"{path}/codes").collect():
             made.mappings.setdefault(r["feature"], {})[r["value"]] = r["code"]
         made.dictionary = spark.read.parquet(f"{path}/dictionary")
+        made.codes = literal_codes(made.dictionary, [c for c in made.text if c not in made.mappings])
         return made

@@ -52,13 +52,14 @@ def generic_cleaning(df: DataFrame, label: str, keys: Sequence[str] = ()) -> Dat
 def customer_cleaning(
     df: DataFrame,
     order_key: str,
+    label: str | None = "Target",
     flyer: str = "FrequentFlyer",
     income: str = "AnnualIncomeClass",
     services: str = "ServicesOpted",
 ) -> DataFrame:
     """Impute, map the ordered categories, code the other texts by first
-    appearance along ``order_key``."""
-    out = clean(df, [order_key])
+    appearance along ``order_key``. The label is left as it is."""
+    out = clean(df, [order_key, *([label] if label else [])])
     kinds = dict(out.dtypes)
     changes = {}
     if "Age" in kinds or flyer != "FrequentFlyer":

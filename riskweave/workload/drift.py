@@ -143,6 +143,17 @@ def latest_report(spark, sf):
     return drift.latest(_daily_summaries(spark, sf), "timestamp")
 
 
+def drift_status(spark, sf):
+    """Days with many errors raise an alert; the newest one is the status."""
+    days = _daily_summaries(spark, sf).select(
+        "timestamp",
+        (F.col("n_errors") * 4 > F.col("n_rows")).alias("alert"),
+        F.concat(F.lit("errors: "), F.col("n_errors").cast("string")).alias("message"),
+    )
+    alerts = days.filter("alert").select("timestamp", F.col("alert").alias("drift_detected"), "message")
+    return drift.current_status(alerts, days)
+
+
 def drift_history(spark, sf):
     return drift.newest_first(_daily_summaries(spark, sf), "timestamp", limit=10)
 
@@ -180,7 +191,7 @@ QUERIES = {
     for f in (
         value_shares, psi_categorical, tv_distance, ks_statistic, ks_pvalue_asym, ks_pvalue_auto, psi_numeric,
         psi_level, drift_report, drift_report_stable, drift_summary, drift_alert, retrain_trigger, chi_square_fit,
-        chi_square_homog, drift_monitor, drift_source_gate, min_rows_gate, latest_report, drift_history,
+        chi_square_homog, drift_monitor, drift_source_gate, min_rows_gate, latest_report, drift_history, drift_status,
         json_summary_normalize, json_roundtrip,
     )
 }
@@ -321,6 +332,8 @@ ORACLE = {
     + "SELECT n_ref, n_cur, n_ref >= 10 AND n_cur >= 10 AS enough FROM (SELECT count(*) FILTER (WHERE is_ref) AS n_ref, "
     "count(*) FILTER (WHERE NOT is_ref) AS n_cur FROM event_periods)",
     "latest_report": f"WITH {_DAILY} SELECT * FROM daily ORDER BY timestamp DESC LIMIT 1",
+    "drift_status": f"""WITH {_DAILY} SELECT timestamp, alert AS drift_detected, 'errors: ' || n_errors AS message FROM (
+        SELECT *, n_errors * 4 > n_rows AS alert FROM daily) ORDER BY alert DESC, timestamp DESC LIMIT 1""",
     "drift_history": f"WITH {_DAILY} SELECT * FROM daily ORDER BY timestamp DESC LIMIT 10",
     "json_summary_normalize": """
         WITH r AS (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'numeric' ELSE 'categorical' END AS type,
