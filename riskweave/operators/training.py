@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from riskweave.functions.hashing import hash_mod
 from riskweave.operators import neighbors, quality
 from riskweave.operators.profile import class_weights
+from riskweave.session import materialize
 
 VECTOR, LABEL, WEIGHT, FOLD = "features", "label", "weight", "fold"
 SEED = 42
@@ -209,11 +210,10 @@ def fit_stack(train: DataFrame, key: str, specs: Mapping[str, Estimator], folds:
             part = add_score(part, model, f"m_{name}")
         part = part.select(key, LABEL, WEIGHT, *inputs)
         held_out = part if held_out is None else held_out.unionByName(part)
-    meta_rows = VectorAssembler(inputCols=inputs, outputCol=VECTOR).transform(held_out).select(LABEL, WEIGHT, VECTOR).persist()
-    try:
-        meta = logistic(meta_rows.count(), True, iterations).fit(meta_rows)
-    finally:
-        meta_rows.unpersist()
+    meta_rows = VectorAssembler(inputCols=inputs, outputCol=VECTOR).transform(held_out).select(LABEL, WEIGHT, VECTOR)
+    # written once: the iterations of the meta model do not repeat the scoring
+    meta_rows = materialize(meta_rows, "stacked")
+    meta = logistic(meta_rows.count(), True, iterations).fit(meta_rows)
     return Stack(fit_all(specs, train, parallelism), meta, inputs)
 
 

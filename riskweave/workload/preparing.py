@@ -179,8 +179,8 @@ def journal_append(spark, sf):
     """Two appends, then the journal as one table."""
     df = views.customer_codes(spark, sf).drop("Target")
     path = new_path(spark, "journal")
-    tables.append_journal(df.filter(F.col(KEY) % 2 == 0), path)
-    tables.append_journal(df.filter(F.col(KEY) % 2 == 1), path)
+    tables.append_journal(df.filter("FrequentFlyer = 1"), path)
+    tables.append_journal(df.filter("FrequentFlyer = 0"), path)
     schema = ", ".join(f"{n} {t}" for n, t in df.dtypes)
     return tables.read_journal(spark, path, schema)
 

@@ -108,7 +108,7 @@ def leaderboard_union(spark, sf):
 
 
 def quality_delta(spark, sf):
-    df = _scored(spark, sf).withColumn("is_ref", F.col("c_custkey") % 2 == 0)
+    df = _scored(spark, sf).withColumn("is_ref", F.col("tenure_days") > 1700)
     return rounded(quality.quality_delta(df, "churn", "pred"))
 
 
@@ -140,7 +140,7 @@ def _scenarios(spark, sf):
         F.col("c_mktsegment").alias("category"),
         F.when(many, "Low").otherwise("Medium").alias("expected_risk"),
         F.when(many, 0.35).alias("probability_max"),
-        F.when(F.col("c_custkey") % 3 != 0, 0.25).alias("probability_min"),
+        F.when(F.col("has_open") == "Yes", 0.25).alias("probability_min"),
     )
 
 
@@ -244,7 +244,7 @@ def _gate(new: str, old: str, auc: float, name: str) -> str:
 
 
 _SCEN = """scen AS (SELECT c_custkey, c_mktsegment AS category, CASE WHEN frequent = 'Yes' THEN 'Low' ELSE 'Medium' END AS expected_risk,
-             CASE WHEN frequent = 'Yes' THEN 0.35::DOUBLE END AS pmax, CASE WHEN c_custkey % 3 <> 0 THEN 0.25::DOUBLE END AS pmin, p,
+             CASE WHEN frequent = 'Yes' THEN 0.35::DOUBLE END AS pmax, CASE WHEN has_open = 'Yes' THEN 0.25::DOUBLE END AS pmin, p,
              CASE WHEN p < 0.3::DOUBLE THEN 'Low' WHEN p < 0.7::DOUBLE THEN 'Medium' ELSE 'High' END AS risk_level FROM s)"""
 _PASS = "CASE WHEN pmax IS NOT NULL THEN p <= pmax WHEN pmin IS NOT NULL THEN p >= pmin ELSE true END"
 _PASS_STRICT = "coalesce(p <= pmax, true) AND coalesce(p >= pmin, true)"
@@ -304,7 +304,7 @@ ORACLE = {
             SELECT * FROM res UNION ALL SELECT 'external ' || lang, {_M['accuracy']}, {_M['f1_score']}, NULL, NULL
             FROM (SELECT lang, {_cells('quality')} FROM lab GROUP BY lang))""",
     "quality_delta": _s(
-        f"c AS (SELECT c_custkey % 2 = 0 AS is_ref, {_cells('churn')} FROM s GROUP BY 1), "
+        f"c AS (SELECT tenure_days > 1700 AS is_ref, {_cells('churn')} FROM s GROUP BY 1), "
         f"m AS (SELECT is_ref, {', '.join(f'{v} AS {k}' for k, v in _M.items())} FROM c)"
     )
     + " UNION ALL ".join(

@@ -78,7 +78,7 @@ def stratified_kfold_exact(spark, sf):
 
 def union_current(spark, sf):
     df = _customers(spark, sf)
-    old, new = df.filter("c_custkey % 3 = 0"), df.filter("c_custkey % 2 = 0")
+    old, new = df.filter("frequent = 'Yes'"), df.filter("has_urgent = 'Yes'")
     return split.append_rows(split.append_rows(None, old, ["c_custkey", "n_orders"]), new, ["c_custkey", "n_orders"])
 
 
@@ -143,6 +143,6 @@ ORACLE = {
     "stratified_kfold_exact": _CF
     + f"SELECT c_custkey, churn, (row_number() OVER (PARTITION BY churn ORDER BY md5({_KEY})) - 1) % 5 AS fold FROM customer_features",
     "union_current": _CF
-    + "SELECT c_custkey, n_orders FROM customer_features WHERE c_custkey % 3 = 0 UNION ALL "
-    "SELECT c_custkey, n_orders FROM customer_features WHERE c_custkey % 2 = 0",
+    + "SELECT c_custkey, n_orders FROM customer_features WHERE frequent = 'Yes' UNION ALL "
+    "SELECT c_custkey, n_orders FROM customer_features WHERE has_urgent = 'Yes'",
 }

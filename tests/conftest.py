@@ -11,7 +11,7 @@ from riskweave.workload import all_queries  # noqa: E402,F401  (registers by-val
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = build_session("local[4]", 4, "riskweave-tests")
+    session = build_session("local[8]", 4, "riskweave-tests")
     session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
     return session
 
