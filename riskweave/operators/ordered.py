@@ -22,8 +22,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskweave.functions.binning import count_edges_le
-
 CELLS = 512
 
 
@@ -36,6 +34,24 @@ def split_points(values: DataFrame, keys: Sequence[str], value: str, cells: int
     return picked.agg(F.array_sort(F.collect_list("_value")).alias("_edges"))
 
 
+def with_bucket(df: DataFrame, value: str, cells: int) -> DataFrame:
+    """Add ``_bucket``: how many entries of the sorted ``_edges`` are ``<= value``.
+
+    A binary search with one projection per halving. Each position is used
+    twice by the next one, so Catalyst keeps the projections apart and fuses
+    them in generated code; the array itself is never copied. Past the end the
+    lookup is null and the position stays. The result is never null, so a join
+    on it adds no null filter that would be pushed to the raw rows.
+    """
+    out = df.withColumn("_bucket", F.lit(0))
+    for step in [1 << j for j in range(max(cells.bit_length(), 1) - 1, -1, -1)]:
+        out = out.withColumn(
+            "_bucket",
+            F.expr(f"_bucket + case when get(_edges, _bucket + {step - 1}) <= `{value}` then {step} else 0 end"),
+        )
+    return out
+
+
 def prefix_counts(
     grouped: DataFrame,
     keys: Sequence[str],
@@ -50,9 +66,7 @@ def prefix_counts(
     """
     keys = list(keys)
     edges = split_points(grouped, keys, value, cells).scalar()
-    bucketed = grouped.select("*", edges.alias("_edges")).select(
-        *grouped.columns, count_edges_le(F.col(value), F.col("_edges"), cells).alias("_bucket")
-    )
+    bucketed = with_bucket(grouped.select("*", edges.alias("_edges")), value, cells).drop("_edges")
     totals = bucketed.groupBy(*keys, "_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in counts])
     before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)

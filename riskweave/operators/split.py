@@ -33,7 +33,7 @@ def _cuts(df: DataFrame, key: Sequence[str], strata: Sequence[str], wanted: Colu
     """
     digest = key_digest(key, seed)
     heads = df.select(*strata, digest.alias("_d")).select(
-        *strata, "_d", digest_number(F.col("_d"), HEAD_DIGITS).cast("int").alias("_h")
+        *strata, "_d", F.substring("_d", 1, HEAD_DIGITS).alias("_h")
     )
     per_head = heads.groupBy(*strata, "_h").agg(F.count(F.lit(1)).alias("_c"))
     running = Window.partitionBy(*strata).orderBy("_h").rowsBetween(Window.unboundedPreceding, Window.currentRow)

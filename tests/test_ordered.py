@@ -2,8 +2,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskweave.functions.binning import count_edges_le, right_closed_band, uniform_grid_position
-from riskweave.operators.ordered import dense_codes, exact_quantiles, prefix_counts
+from riskweave.functions.binning import right_closed_band, uniform_grid_position
+from riskweave.operators.ordered import dense_codes, exact_quantiles, prefix_counts, with_bucket
 from riskweave.operators.quality import THRESHOLDS
 
 
@@ -41,8 +41,8 @@ def test_dense_codes_of_texts(spark):
 def test_binary_search(spark):
     edges = [0.5, 1.0, 1.0, 2.5]
     df = spark.createDataFrame([(float(v) / 4,) for v in range(-4, 16)], "v double")
-    rows = df.select("v", count_edges_le(F.col("v"), F.array(*[F.lit(e) for e in edges])).alias("k")).collect()
-    assert all(r["k"] == sum(e <= r["v"] for e in edges) for r in rows)
+    rows = with_bucket(df.withColumn("_edges", F.array(*[F.lit(e) for e in edges])), "v", 16).collect()
+    assert all(r["_bucket"] == sum(e <= r["v"] for e in edges) for r in rows)
 
 
 def test_threshold_position(spark):
