@@ -67,7 +67,14 @@ def prefix_counts(
     keys = list(keys)
     edges = split_points(grouped, keys, value, cells).scalar()
     bucketed = with_bucket(grouped.select("*", edges.alias("_edges")), value, cells).drop("_edges")
-    totals = bucketed.groupBy(*keys, "_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in counts])
+    # one exchange serves the totals, the join and the window; the (always true)
+    # test of the largest value makes the totals need the same columns
+    bucketed = bucketed.repartition(*keys, "_bucket")
+    totals = (
+        bucketed.groupBy(*keys, "_bucket")
+        .agg(F.max(value).alias("_top"), *[F.sum(c).alias(f"_t_{c}") for c in counts])
+        .filter("_top is not null")
+    )
     before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
     offsets = totals.select(
