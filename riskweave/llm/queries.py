@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import chat, decontamination, mixing
-from riskweave.llm.common import read
+from riskweave.llm import chat, decontamination, mixing, scoring
+from riskweave.llm.common import read, remainder_of
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -120,3 +120,10 @@ leaks AS (
   FROM doc_words d LEFT JOIN hits h USING (doc_id) LEFT JOIN found f USING (doc_id))
 """
 ORACLE["op10_decontaminate"] = "WITH " + LEAK_SQL.format(words=WORDS_SQL, docs="documents") + "SELECT * FROM leaks"
+
+
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.score(read(spark, sf_dir, "documents"), remainder_of(F.col("doc_id"), 7) == 2)
+
+
+QUERIES["op4_lm_score"] = op4_lm_score
