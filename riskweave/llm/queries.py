@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import chat, decontamination, mixing, scoring
+from riskweave.llm import chat, decontamination, mixing, scoring, simhash
 from riskweave.llm.common import read, remainder_of
 
 QUERIES: dict = {}
@@ -127,3 +127,10 @@ def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op4_lm_score"] = op4_lm_score
+
+
+def op7_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+QUERIES["op7_simhash_components"] = op7_simhash_components
