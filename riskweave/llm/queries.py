@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import chat, decontamination, mixing, scoring, simhash
+from riskweave.llm import chat, decontamination, language, mixing, scoring, simhash, toxicity
 from riskweave.llm.common import read, remainder_of
 
 QUERIES: dict = {}
@@ -134,3 +134,19 @@ def op7_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op7_simhash_components"] = op7_simhash_components
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = read(spark, sf_dir, "documents"), remainder_of(F.col("doc_id"), 5) == 0
+    machine = toxicity.fit(docs, read(spark, sf_dir, "labels"), held_out)
+    return toxicity.score(docs, machine).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = read(spark, sf_dir, "documents"), remainder_of(F.col("doc_id"), 5) == 0
+    model = language.fit(docs, held_out)
+    return language.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+QUERIES["op6_toxicity"] = op6_toxicity
+QUERIES["op8_language"] = op8_language
