@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import chat, decontamination, language, mixing, scoring, simhash, toxicity
+from riskweave.llm import chat, decontamination, language, mixing, scoring, simhash, substrings, toxicity
 from riskweave.llm.common import read, remainder_of
 
 QUERIES: dict = {}
@@ -150,3 +150,14 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["op6_toxicity"] = op6_toxicity
 QUERIES["op8_language"] = op8_language
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.deduplicate(read(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
+    return kept.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+QUERIES["op5_substring_dedup"] = op5_substring_dedup
