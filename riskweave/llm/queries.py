@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import chat, decontamination, language, mixing, scoring, simhash, substrings, toxicity
+from riskweave.llm import chat, decontamination, html_text, language, mixing, scoring, simhash, substrings, toxicity
 from riskweave.llm.common import read, remainder_of
 
 QUERIES: dict = {}
@@ -161,3 +161,11 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op5_substring_dedup"] = op5_substring_dedup
+
+
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.main_text(read(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+QUERIES["op3_main_text"] = op3_main_text

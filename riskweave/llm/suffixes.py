@@ -8,7 +8,7 @@ import numpy as np
 PAD = 7
 
 
-def concatenated(at: np.ndarray, lengths: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def concatenated(at: np.ndarray, lengths: np.ndarray, data: np.ndarray, kind: type = np.uint16) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Entries ``data[at : at + length]`` one after the other, each followed by
     PAD zeros: the string (symbols are values plus one), the places of its
     symbols, and where they stand in ``data``."""
@@ -16,8 +16,8 @@ def concatenated(at: np.ndarray, lengths: np.ndarray, data: np.ndarray) -> tuple
     inner = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     places = np.repeat(begins, lengths) + inner
     sources = np.repeat(at, lengths) + inner
-    x = np.zeros(int((lengths + PAD).sum()), dtype=np.uint16)
-    x[places] = data[sources].astype(np.uint16) + 1
+    x = np.zeros(int((lengths + PAD).sum()), dtype=kind)
+    x[places] = data[sources].astype(kind) + kind(1)
     return x, places, sources
 
 
@@ -82,8 +82,7 @@ def common_prefixes(x: np.ndarray, sa: np.ndarray, rank: np.ndarray, depth: int
     Kasai: from one place to the next the prefix shared with the predecessor
     shrinks by one at most, and by exactly one where the symbols before both are
     the same and were neighbours too. Only the other places are compared, the
-    rest count down from them. ``x`` holds 16-bit symbols, compared four at a
-    time. With a suffix array of limited ``depth``, a suffix tied with the one
+    rest count down from them. Symbols are compared eight bytes at a time. With a suffix array of limited ``depth``, a suffix tied with the one
     before it counts as sharing ``depth`` symbols, or all it has left.
     """
     if len(sa) < 2:
@@ -103,13 +102,14 @@ def common_prefixes(x: np.ndarray, sa: np.ndarray, rank: np.ndarray, depth: int
     end = np.minimum.accumulate(zero[::-1])[::-1]
     a, b = places[compare], phi[compare]
     room = np.minimum(end[a] - a, end[b] - b)
-    words = np.ndarray((len(x),), dtype="<u8", buffer=np.concatenate([x, np.zeros(4, x.dtype)]), strides=(2,))
+    words = np.ndarray((len(x),), dtype="<u8", buffer=np.concatenate([x, np.zeros(8, x.dtype)]), strides=(x.itemsize,))
+    step, bits = 8 // x.itemsize, 8 * x.itemsize
     found, at, active = np.zeros(len(compare), dtype=np.int64), 0, np.arange(len(compare))
     while len(active):
         apart = words[a[active] + at] ^ words[b[active] + at]
-        equal = np.bitwise_count((apart & (~apart + np.uint64(1))) - np.uint64(1)).astype(np.int64) // 16
+        equal = np.bitwise_count((apart & (~apart + np.uint64(1))) - np.uint64(1)).astype(np.int64) // bits
         found[active] += equal
-        at += 4
+        at += step
         active = active[(apart == 0) & (room[active] > at)]
     shared = np.zeros(len(places), dtype=np.int64)
     shared[compare] = np.minimum(found, room)
