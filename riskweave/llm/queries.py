@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import chat, decontamination, html_text, language, mixing, scoring, simhash, substrings, toxicity
+from riskweave.llm import chat, decontamination, html_text, language, mixing, neighbours, scoring, simhash, substrings, toxicity
 from riskweave.llm.common import read, remainder_of
 
 QUERIES: dict = {}
@@ -169,3 +169,10 @@ def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op3_main_text"] = op3_main_text
+
+
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+QUERIES["op9_nearest"] = op9_nearest

@@ -27,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -141,7 +142,9 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, train_rows: int =
     def learn(batches):
         found, y = [], []
         for b in batches:
-            found += [np.asarray(x.values if hasattr(x, "values") else [], dtype=np.int32) for x in b.column("terms")]
+            column = b.column("terms")
+            flat, ends = column.flatten().to_numpy(), np.cumsum(pa.compute.list_value_length(column).to_numpy())
+            found += np.split(flat.copy(), ends[:-1])
             y += b.column("toxic").to_pylist()
         return vars(train(found, np.array(y, dtype=np.float64)))
 
