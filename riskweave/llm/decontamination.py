@@ -89,7 +89,8 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM) -
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated: one row per document.
+    """doc_id, digest (a hash of the text), n_words, n_hit, n_items, items_sha256,
+    contaminated: one row per document.
 
     The whole corpus is read twice: once for its fingerprints, which are joined
     with those of the items, and once for the windows of the candidates. Tables
@@ -140,9 +141,18 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
     found = materialize(found.select(F.col("doc_id").alias("_doc"), F.col("digest").alias("_digest"), "n_hit", "items"), "hits")
     return scanned.join(found, same, "left").select(
         "doc_id",
+        "digest",
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
         F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("items_sha256"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
     )
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """The rows of ``docs`` without any hit."""
+    hit = contamination(docs, benchmark, window, gram).where("contaminated").select(F.col("doc_id").alias("_doc"), F.col("digest").alias("_digest"))
+    hit = materialize(hit.distinct(), "contaminated")
+    digest = F.xxhash64(F.coalesce("text", F.lit("")))
+    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_doc")) & (digest == F.col("_digest")), "left_anti")

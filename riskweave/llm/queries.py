@@ -96,7 +96,7 @@ ORACLE["op2_mix_sources"] = "WITH " + MIX_SQL.format(docs="documents") + "SELECT
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontamination.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return decontamination.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("digest")
 
 
 QUERIES["op10_decontaminate"] = op10_decontaminate
@@ -130,7 +130,7 @@ QUERIES["op4_lm_score"] = op4_lm_score
 
 
 def op7_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+    return simhash.near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
 QUERIES["op7_simhash_components"] = op7_simhash_components

@@ -57,16 +57,17 @@ def fingerprint(text: bytes, size: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed number)."""
+    """doc_id, digest (a hash of the text), fp (the 64 bits as a signed number)."""
 
     def local(batches):
         for batch in batches:
             texts = batch.column("text").cast(pa.large_binary())
             fps = np.array([fingerprint(t.as_py() or b"") for t in texts], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), pa.array(fps, pa.int64())], names=["doc_id", "digest", "fp"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(local, f"doc_id {kind}, fp long")
+    text = F.coalesce("text", F.lit(""))
+    return docs.select("doc_id", F.xxhash64(text).alias("digest"), text.alias("text")).mapInArrow(local, f"doc_id {kind}, digest long, fp long")
 
 
 class Forest:
@@ -205,12 +206,25 @@ def links(classes: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id: one row per document."""
+    """doc_id, digest, fingerprint (16 hex digits), component_id, component (a
+    fingerprint that stands for it): one row per document."""
     rows = materialize(fingerprints(docs), "fingerprints")
     classes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
     parts = components(links(classes.select("fp"), radius)).select(F.col("u").alias("fp"), F.col("v").alias("root"))
     placed = classes.join(parts, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     placed = materialize(placed, "placed")
     heads = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = materialize(placed.join(heads, "root").select("fp", "component_id"), "named")
-    return rows.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    named = materialize(placed.join(heads, "root").select("fp", "root", "component_id"), "named")
+    return rows.join(named, "fp").select(
+        "doc_id", "digest", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", F.col("root").alias("component")
+    )
+
+
+def without_near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """The rows of ``docs`` that stay: the least id of every component, once."""
+    near = near_duplicates(docs, radius)
+    stay = near.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest")).alias("row"))
+    stay = materialize(stay.select(F.col("row.doc_id").alias("_doc"), F.col("row.digest").alias("_digest")), "stay")
+    digest = F.xxhash64(F.coalesce("text", F.lit("")))
+    kept = docs.withColumn("_own", digest).join(stay, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_own") == F.col("_digest")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "_own"]).drop("_own")

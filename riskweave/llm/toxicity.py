@@ -30,6 +30,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskweave.llm.fitting import fit_in_task
 from riskweave.session import materialize
@@ -151,15 +152,15 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, train_rows: int =
     return Machine(**fit_in_task(rows.select("text", "toxic").mapInArrow(local, "terms array<int>, toxic int"), learn))
 
 
-def score(docs: DataFrame, machine: Machine) -> DataFrame:
-    """doc_id, score, predicted for every row."""
+def score(docs: DataFrame, machine: Machine, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns ``keep``, then score and predicted, for every row."""
 
     def local(batches):
         place = {int(t): i for i, t in enumerate(machine.kept)}
         known: dict[str, tuple[int, ...]] = {}
         for b in batches:
             scores = []
-            for text in b.column("text"):
+            for text in b.column("_text"):
                 at: set[int] = set()
                 for w in set(WORD.findall((text.as_py() or "").lower())):
                     own = known.get(w)
@@ -171,7 +172,8 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
                 m = machine.margin(np.array(sorted(at), dtype=np.int64))
                 scores.append(1 / (1 + np.exp(-np.clip(m, -500, 500))))
             s = np.array(scores, dtype=np.float64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], names=["doc_id", "score", "predicted"])
+            columns = [*(b.column(i) for i in range(len(keep))), pa.array(s), pa.array((s >= 0.5).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, "score", "predicted"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(local, f"doc_id {kind}, score double, predicted int")
+    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(local, schema)
