@@ -6,9 +6,10 @@ a document with a smaller id. The work goes in four steps:
 1. Shards of documents name the least 20-byte gram of every window of LENGTH
    bytes (equal windows have equal least grams); buckets of grams tell which
    ones occur in two documents or more. Only windows with such a gram can repeat.
-2. Each shard builds a suffix array of the text of those windows
-   (Larsson-Sadakane refinement) and common prefixes (Kasai): suffixes that
-   share LENGTH bytes are one class, represented by its earliest document.
+2. Each shard builds a suffix array of the text of those windows whose gram
+   it has more than once (Larsson-Sadakane refinement) and common prefixes
+   (Kasai): suffixes that share LENGTH bytes are one class, represented by its
+   earliest document.
 3. The representatives of all shards meet in the bucket of their gram and are
    merged: every shard's windows find their place among the sorted distinct
    ones by binary search, where the smallest document id is kept.
@@ -32,12 +33,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskweave.llm import tokens as tk
 from riskweave.llm.suffixes import common_prefixes, concatenated, suffix_array
 
 LENGTH, GRAM = 50, 20
 SHARD_BYTES = 4 << 20
+#: Text of one suffix array; a shard whose repeats fill more has several.
+REGION_BYTES = 2 << 20
 #: Runs of one gram in the whole corpus from which its windows are dealt out one by one.
 HOT_RUNS = 1 << 20
 LAST = np.iinfo(np.int64).max
@@ -108,7 +112,8 @@ def runs_of(data: np.ndarray, offsets: np.ndarray, bits: int, length: int = LENG
     if not starts:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U)
     low = U(64 - bits - 40) if bits < 24 else U(0)
-    return np.concatenate(starts), np.concatenate(sizes), (np.concatenate(keys) >> low) << low
+    # least hashes are small: mixed again, they spread evenly over the buckets
+    return np.concatenate(starts), np.concatenate(sizes), (tk.mixed(np.concatenate(keys)) >> low) << low
 
 
 class Shard:
@@ -119,7 +124,7 @@ class Shard:
         digests = table["digest"].to_numpy()
         order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, digests[i]))
         table = table.take(pa.array(order, pa.int64()))
-        self.doc_ids = table["doc_id"]
+        self.table = table
         self.ids = np.array([LAST if ids[i] is None else ids[i] for i in order], dtype=np.int64)
         self.data, self.offsets = tk.text_bytes(table["text"])
 
@@ -215,12 +220,16 @@ def send_representatives(table: pa.Table, answers: pa.Table, bits: int, length:
     shard, number = Shard(table), table["shard"][0].as_py()
     data = shard.data
     starts, sizes, keys = runs_of(data, shard.offsets, bits, length)
-    every, place = np.unique(keys, return_inverse=True)
+    every, place, times = np.unique(keys, return_inverse=True, return_counts=True)
     flags = np.frombuffer(b"".join(answers["flags"][int(i)].as_py() for i in np.argsort(answers["bucket"].to_numpy())), dtype=np.uint8)
     flag = flags[place] if len(every) else np.zeros(0, np.uint8)
-    starts, sizes, keys, hot = starts[flag > 0], sizes[flag > 0], keys[flag > 0], flag[flag > 0] > 1
-    copies, sends = [], []
-    for at, windows in regions(starts, sizes, length, SHARD_BYTES):
+    kept = flag > 0
+    starts, sizes, keys, hot, again = starts[kept], sizes[kept], keys[kept], flag[kept] > 1, times[place][kept] > 1
+    # a gram with one run here has no second copy here: its windows represent themselves
+    alone = ~again & ~hot
+    copies, sends = [], [(starts[alone], sizes[alone], keys[alone])]
+    starts, sizes, keys, hot = starts[~alone], sizes[~alone], keys[~alone], hot[~alone]
+    for at, windows in regions(starts, sizes, length, REGION_BYTES):
         window, first = classes(data, at, windows, length)
         run = np.searchsorted(starts, window, side="right") - 1
         own = window == first
@@ -300,7 +309,7 @@ def covered_spans(shard: Shard, answers: pa.Table, length: int) -> np.ndarray:
     return np.cumsum(covered[:-1]) > 0
 
 
-def remove(table: pa.Table, answers: pa.Table, length: int) -> pa.Table:
+def remove(table: pa.Table, answers: pa.Table, length: int, keep: tuple[str, ...]) -> pa.Table:
     shard = Shard(table)
     gone = covered_spans(shard, answers, length)
     edge = np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8))
@@ -323,28 +332,35 @@ def remove(table: pa.Table, answers: pa.Table, length: int) -> pa.Table:
     span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
     return pa.table(
         {
-            "doc_id": shard.doc_ids,
+            **{c: shard.table[c] for c in keep},
             "n_bytes": pa.array(np.diff(shard.offsets), pa.int64()),
             "spans": pa.array(spans, span),
             "kept": pa.array(kept, pa.binary()),
+            "kept_text": pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()),
         }
     )
 
 
-def deduplicate(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES, hot_runs: int = HOT_RUNS) -> DataFrame:
-    """doc_id, n_bytes, spans (removed bytes: begin, end), kept (the other bytes).
+def deduplicate(
+    docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES, hot_runs: int = HOT_RUNS, keep: tuple[str, ...] = ("doc_id",)
+) -> DataFrame:
+    """The columns ``keep`` (not the text), n_bytes, spans (removed bytes: begin,
+    end), kept (the other bytes), kept_text (the same as text; what is left of a
+    character that was cut goes).
 
     One row per document. The texts are shuffled once; the exchange serves
     steps 1, 2 and 4.
     """
-    text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    others = [c for c in keep if c != "doc_id"]
+    body = F.coalesce("text", F.lit(""))
+    text = docs.select("doc_id", *others, body.alias("text"), F.xxhash64(body).alias("digest"))
     shards = tk.shard_number(text, shard_bytes)
     bits = tk.bucket_bits(shards)
-    rows = tk.sharded(text.withColumn("digest", F.xxhash64("text")), shards, "digest")
+    rows = tk.sharded(text, shards, *others, "digest")
     named = rows.groupBy("shard").applyInArrow(lambda t: name_grams(t, bits, length), NAMED)
     common = named.groupBy("bucket").applyInArrow(lambda t: common_grams(t, hot_runs), COMMON)
     sent = rows.groupBy("shard").cogroup(common.groupBy("shard")).applyInArrow(lambda t, a: send_representatives(t, a, bits, length), SENT)
     back = sent.groupBy("bucket").applyInArrow(lambda t: merge(t, length), BACK)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n_bytes long, spans array<struct<begin:long,end:long>>, kept binary"
-    return rows.groupBy("shard").cogroup(back.groupBy("shard")).applyInArrow(lambda t, a: remove(t, a, length), schema)
+    own = T.StructType([docs.schema[c] for c in keep])
+    schema = T.StructType([*own.fields, *T.StructType.fromDDL("n_bytes long, spans array<struct<begin:long,end:long>>, kept binary, kept_text string").fields])
+    return rows.groupBy("shard").cogroup(back.groupBy("shard")).applyInArrow(lambda t, a: remove(t, a, length, keep), schema)

@@ -32,9 +32,12 @@ def suffix_array(x: np.ndarray, places: np.ndarray, depth: int | None = None) ->
     """
     top = int(x.max()) + 1 if len(x) else 1
     width = PAD if top**PAD < 2**63 else max(1, int(62 / np.log2(top)))
-    key = np.zeros(len(places), dtype=np.uint64)
+    reading = np.concatenate([x, np.zeros(width, x.dtype)])
+    key = np.zeros(len(x), dtype=np.uint64)
     for j in range(width):
-        key = key * np.uint64(top) + x[places + j].astype(np.uint64)
+        key *= np.uint64(top)
+        key += reading[j : j + len(x)]
+    key = key[places]
     order = np.argsort(key)
     key = key[order]
     sa = places[order]

@@ -121,8 +121,10 @@ def unpack_keys(b: bytes, width: int) -> np.ndarray:
 
 def bucket_ranges(keys: np.ndarray, bits: int):
     """(bucket, from, to) of the buckets that sorted keys fall into."""
+    if not len(keys):
+        return
     buckets = (keys >> np.uint64(64 - bits)).astype(np.int64)
-    at = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    at = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1]]))
     for a, b in zip(at, np.append(at[1:], len(keys)), strict=True):
         yield int(buckets[a]), int(a), int(b)
 
