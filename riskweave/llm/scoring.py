@@ -167,8 +167,7 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, strength: tuple
             # the context of an n-gram is the shorter n-gram that ends one token earlier
             context = np.empty(len(tokens), dtype=np.int64)
             context[1:] = found[k - 1][:-1]
-            heads = np.concatenate([starts[:-1] + j for j in range(k)]) if k > 1 else starts[:-1]
-            context[heads[heads < len(tokens)]] = begun
+            context[starts[:-1]] = begun
             p = (found[k] + strength[k - 1] * p) / (context + strength[k - 1])
         total = lambda x: np.add.reduceat(x, starts[:-1]) if len(x) else np.zeros(0)
         return pa.table(
