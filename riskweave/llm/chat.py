@@ -55,7 +55,9 @@ class Layout:
 
 
 ROLE_NAMES = "CASE {0} WHEN 'human' THEN 'user' WHEN 'gpt' THEN 'assistant' WHEN 'bot' THEN 'assistant' ELSE {0} END"
-PAIR = "filter(array(struct(0L AS turn, 'system' AS role, {s} AS text), struct(1L, 'user', {u}), struct(2L, 'assistant', {a})), t -> t.text IS NOT NULL)"
+PAIR = "filter(array({0}), t -> t.text IS NOT NULL)".format(
+    ", ".join(f"struct({i}L AS turn, '{r}' AS role, {{{r[0]}}} AS text)" for i, r in enumerate(("system", "user", "assistant")))
+)
 
 LAYOUTS = (
     Layout("rows", "OBJECT<conv_id: _, role: _, text: _, turn: _>", "array(struct(CAST(turn AS BIGINT) AS turn, role AS role, text AS text))"),

@@ -31,7 +31,7 @@ from riskweave.llm.fitting import fit_in_task
 from riskweave.session import materialize
 
 SAMPLE, PARTS, GRAPH_K = 4096, 32, 10
-TARGET = 0.96
+TARGET = 0.98
 BLOCK_ROWS = 8192
 #: Rows up to which a search visits every part: what a sample of this size would do anyway.
 EXHAUSTIVE = 64
