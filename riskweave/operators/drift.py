@@ -8,10 +8,13 @@ the split points, the bucket offsets, the running sums and the bin counts.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from riskweave.functions.labels import (
     PSI_BINS,
@@ -457,77 +460,47 @@ def chi_square_homogeneity(counts: DataFrame, p_threshold: float = 0.05) -> Data
     )
 
 
-def chi_square_pvalue(chi: Column, dof: Column, direct_terms: int = 200) -> Column:
-    """Upper tail of the chi-square law as a column expression.
-
-    Up to ``direct_terms`` degrees of freedom the finite sum is used (Poisson
-    sum for even, error-function form for odd degrees); above, the
-    Wilson-Hilferty normal approximation.
-    """
-    x = chi / 2
-    half = (dof / 2).cast("int")
-    steps = F.sequence(F.lit(1), F.lit(direct_terms))
-    even = F.exp(-x) * F.aggregate(
-        steps,
-        F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("sum")),
-        lambda acc, k: F.when(
-            k < half,
-            F.struct(
-                (acc["term"] * x / k).alias("term"),
-                (acc["sum"] + acc["term"] * x / k).alias("sum"),
-            ),
-        ).otherwise(acc),
-        lambda acc: acc["sum"],
-    )
-    root = F.sqrt(x)
-    # odd: erfc(sqrt(x)) + exp(-x) * sum_{k=1..half} x^(k-1/2) / Gamma(k+1/2)
-    first = F.try_divide(F.lit(1.0), F.lit(0.8862269254527579)) * root
-    odd_sum = F.aggregate(
-        steps,
-        F.struct(first.alias("term"), F.lit(0.0).alias("sum")),
-        lambda acc, k: F.when(
-            k <= half,
-            F.struct(
-                (acc["term"] * x / (k + 0.5)).alias("term"),
-                (acc["sum"] + acc["term"]).alias("sum"),
-            ),
-        ).otherwise(acc),
-        lambda acc: acc["sum"],
-    )
-    odd = erfc(root) + F.exp(-x) * odd_sum
-    z = (F.pow(chi / dof, F.lit(1.0 / 3)) - (1 - F.lit(2.0) / (9 * dof))) / F.sqrt(F.lit(2.0) / (9 * dof))
-    large = 0.5 * erfc(z / F.sqrt(F.lit(2.0)))
-    return (
-        F.when(chi.isNull() | (dof <= 0), None)
-        .when(chi == float("inf"), 0.0)
-        .when(dof > 2 * direct_terms, large)
-        .when(x > 700, 0.0)
-        .when(dof % 2 == 0, even)
-        .otherwise(odd)
-    )
-
-
-def erfc(x: Column) -> Column:
-    """Complementary error function (rational Chebyshev fit, about 1.2e-7)."""
-    t = F.lit(1.0) / (1.0 + 0.5 * F.abs(x))
-    # fixed values: coefficients of the published fit
-    coefficients = [
-        -1.26551223,
-        1.00002368,
-        0.37409196,
-        0.09678418,
-        -0.18628806,
-        0.27886807,
-        -1.13520398,
-        1.48851587,
-        -0.82215223,
-        0.17087277,
+def _gamma_tail(a: float, x: float) -> float:
+    """Regularised upper incomplete gamma function: series below ``a + 1``,
+    continued fraction (Lentz) above."""
+    if x <= 0:
+        return 1.0
+    front = math.exp(a * math.log(x) - x - math.lgamma(a))
+    if x < a + 1:
+        term = total = 1.0 / a
+        n = a
+        while abs(term) > abs(total) * 1e-16:
+            n += 1
+            term *= x / n
+            total += term
+        return max(0.0, 1.0 - front * total)
+    tiny = 1e-300
+    b = x + 1 - a
+    c, d = 1 / tiny, 1 / b
+    h = d
+    for i in range(1, 100_000_000):
+        an = -i * (i - a)
+        b += 2
+        d = 1 / ((an * d + b) or tiny)
+        c = (b + an / c) or tiny
+        step = d * c
+        h *= step
+        if abs(step - 1) < 1e-15:
+            break
+    return min(1.0, front * h)
+
+
+@F.pandas_udf(DoubleType())
+def chi_square_pvalue(chi: pd.Series, dof: pd.Series) -> pd.Series:
+    """Upper tail of the chi-square law, the same formula for any degrees of
+    freedom. Null for a null statistic or no degree of freedom. The callers
+    have one row per feature."""
+    values = [
+        None if pd.isna(c) or pd.isna(k) or k <= 0 else 0.0 if math.isinf(c) else _gamma_tail(k / 2, c / 2)
+        for c, k in zip(chi, dof, strict=True)
     ]
-    poly = F.lit(coefficients[-1])
-    for c in reversed(coefficients[:-1]):
-        poly = F.lit(c) + t * poly
-    tail = t * F.exp(-x * x + poly)
-    return F.when(x >= 0, tail).otherwise(2.0 - tail)
+    return pd.Series(values, dtype="float64")
+
 
 
 def drift_monitor(df: DataFrame, features: Sequence[str], p_threshold: float = 0.05, p_mode: str = "auto") -> DataFrame:

@@ -5,14 +5,19 @@ exact quantiles, dense codes) goes through :func:`prefix_counts`:
 
 1.  the caller groups the rows to one row per ``(group, value)``, so a heavily
     repeated value is already a single row with a count;
-2.  up to ``CELLS`` split points are picked by hash (one value per hash cell),
-    which is deterministic and independent of the physical partitioning; they
-    only balance the work, any set of split points gives the same result;
-3.  bucket totals give exclusive offsets (at most ``CELLS + 1`` rows a group);
+2.  split points are picked by hash (one value per hash cell, then every
+    ``EVERY``-th of them in order), which is deterministic and independent of
+    the physical partitioning; they only balance the work, any set of split
+    points gives the same result;
+3.  bucket totals give exclusive offsets (one row per group and bucket);
 4.  a running sum inside ``(group, bucket)`` plus the offset is the global sum.
 
-The split points are shared by all groups, so a bucket of one group holds about
-``1 / CELLS`` of *all* values at most, however the rows spread over the groups.
+The split points are shared by all groups. There are ``CELLS`` of them, or four
+per shuffle partition where that is more, so the parallelism grows with the
+cluster's setting. A bucket spans the ``EVERY`` gaps between picked values, whose
+sum is far more even than a single gap: the largest holds about three times
+``1 / cells`` of the distinct values. Groups with a null key are groups like any
+other: rows meet by a structure of the keys, in which nulls are equal.
 """
 
 from __future__ import annotations
@@ -22,16 +27,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CELLS = 512
+CELLS, EVERY = 512, 8
+
+
+def cells_of(df: DataFrame) -> int:
+    return max(CELLS, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def split_points(values: DataFrame, keys: Sequence[str], value: str, cells: int = CELLS) -> DataFrame:
     """One row: a sorted array of at most ``cells`` values."""
     digest = F.xxhash64(*keys, value)
-    picked = values.groupBy(F.pmod(digest, F.lit(cells)).alias("_cell")).agg(
+    picked = values.groupBy(F.pmod(digest, F.lit(cells * EVERY)).alias("_cell")).agg(
         F.min_by(value, digest).alias("_value")
     )
-    return picked.agg(F.array_sort(F.collect_list("_value")).alias("_edges"))
+    # bounded: one value per cell
+    everything = F.array_sort(F.collect_list("_value"))
+    return picked.agg(everything.alias("_all")).select(F.filter("_all", lambda v, i: i % EVERY == EVERY - 1).alias("_edges"))
 
 
 def with_bucket(df: DataFrame, value: str, cells: int) -> DataFrame:
@@ -57,13 +68,18 @@ def prefix_counts(
     keys: Sequence[str],
     value: str,
     counts: Sequence[str],
-    cells: int = CELLS,
+    cells: int | None = None,
 ) -> DataFrame:
     """Add inclusive running sums ``cum_<c>`` and group totals ``tot_<c>``.
 
-    ``grouped`` holds one row per ``(keys, value)``; keys and value must not be
-    null. The order is ascending in ``value``.
+    ``grouped`` holds one row per ``(keys, value)``; the value must not be null.
+    The order is ascending in ``value``.
     """
+    cells = cells or cells_of(grouped)
+    columns = grouped.columns
+    if keys:
+        grouped = grouped.withColumn("_g", F.struct(*[F.col(k).alias(f"_{i}") for i, k in enumerate(keys)]))
+        keys = ["_g"]
     keys = list(keys)
     edges = split_points(grouped, keys, value, cells).scalar()
     bucketed = with_bucket(grouped.select("*", edges.alias("_edges")), value, cells).drop("_edges")
@@ -88,7 +104,7 @@ def prefix_counts(
     )
     joined = bucketed.join(offsets, [*keys, "_bucket"])
     return joined.select(
-        *grouped.columns,
+        *columns,
         *[(F.sum(c).over(inside) + F.col(f"_o_{c}")).alias(f"cum_{c}") for c in counts],
         *[f"tot_{c}" for c in counts],
     )

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.functions.binning import right_closed_band
+from riskweave.functions.encoding import nan_to_null
 from riskweave.operators.ordered import exact_quantiles, long_numeric, numeric_columns
 from riskweave.session import broadcast_if_small
 
@@ -138,8 +139,10 @@ def segment_profile(df: DataFrame, segments: dict[str, Column], label: str) -> D
 
 
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
-    """Equal-width bins over [min, max]; the last bin is closed; empties kept."""
-    limits = df.agg(F.min(column).cast("double").alias("lo"), F.max(column).cast("double").alias("hi"))
+    """Equal-width bins over [min, max]; the last bin is closed; empties kept.
+    NaN counts as null."""
+    df = df.select(nan_to_null(F.col(column).cast("double")).alias(column))
+    limits = df.agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
     bounds = limits.select(F.struct("lo", "hi").alias("b")).scalar()
     placed = df.select(F.col(column).cast("double").alias("_v"), bounds.alias("_b")).filter("_v is not null")
     width = (F.col("_b.hi") - F.col("_b.lo")) / bins
@@ -159,15 +162,15 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
 
 def box_stats(df: DataFrame, value: str, group: str) -> DataFrame:
     """Quartiles and whiskers (furthest data within 1.5 IQR) per group."""
-    rows = df.select(group, F.col(value).cast("double").alias("_v")).filter(f"`{group}` is not null and _v is not null")
+    rows = df.select(group, nan_to_null(F.col(value).cast("double")).alias("_v")).filter("_v is not null")
     quartiles = exact_quantiles(rows, [group], "_v", [0.25, 0.5, 0.75]).select(
-        group, "n", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3")
+        F.col(group).alias("_group"), "n", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3")
     )
     spread = F.col("q3") - F.col("q1")
     inside = F.col("_v").between(F.col("q1") - 1.5 * spread, F.col("q3") + 1.5 * spread)
     counted = rows.groupBy(group, "_v").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 0")
     return (
-        counted.join(broadcast_if_small(quartiles), group)
+        counted.join(broadcast_if_small(quartiles), F.col(group).eqNullSafe(F.col("_group")))
         .groupBy(group)
         .agg(
             F.max("n").alias("n"),

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.functions.binning import uniform_grid_position
+from riskweave.functions.encoding import nan_to_null
 from riskweave.operators.ordered import prefix_counts
 
 # fixed values: the doubles of an arange from 0.1 with step 0.01
@@ -60,14 +61,13 @@ def confusion_matrix(df: DataFrame, label: str, prediction: str) -> DataFrame:
 
 
 def _score_counts(df: DataFrame, label: str, score: str, keys: Sequence[str]) -> DataFrame:
-    """One row per (group, score). The filter keeps both counts alive in every
-    consumer so that all of them share one shuffle."""
-    present = F.col(score).isNotNull() & F.col(label).isNotNull()
-    for k in keys:
-        present = present & F.col(k).isNotNull()
+    """One row per (group, score); a null key is a group of its own, NaN scores
+    count as missing. The filter keeps both counts alive in every consumer so
+    that all of them share one shuffle."""
+    value = nan_to_null(F.col(score).cast("double"))
     return (
-        df.filter(present)
-        .groupBy(*keys, F.col(score).cast("double").alias("score"))
+        df.filter(value.isNotNull() & F.col(label).isNotNull())
+        .groupBy(*keys, value.alias("score"))
         .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
         .filter("pos + neg > 0")
     )
@@ -274,18 +274,25 @@ def promotion_gate(
     Both tables: ``(slice, slice_value, f1_score, roc_auc)``, where the row
     ``('all', 'all')`` holds the overall quality. Rules: overall F1 not lower,
     overall AUC at least ``min_auc``, no group more than ``group_tolerance``
-    below the champion's F1.
+    below the champion's F1. A group of the champion that the challenger lacks,
+    or has no F1 for, fails.
     """
-    keys = ["slice", "slice_value"]
-    joined = challenger.select(*keys, F.col("f1_score").alias("f1_new"), F.col("roc_auc").alias("auc_new")).join(
-        champion.select(*keys, F.col("f1_score").alias("f1_old")), keys
+    new = challenger.select(
+        F.col("slice").alias("_slice"), F.col("slice_value").alias("_value"), F.col("f1_score").alias("f1_new"), F.col("roc_auc").alias("auc_new")
+    )
+    joined = champion.select("slice", "slice_value", F.col("f1_score").alias("f1_old")).join(
+        new, F.col("slice").eqNullSafe(F.col("_slice")) & F.col("slice_value").eqNullSafe(F.col("_value")), "left"
     )
     overall = F.col("slice") == "all"
+
+    def holds(rule: Column) -> Column:
+        return F.when(F.col("f1_old").isNotNull(), F.coalesce(rule, F.lit(False)))
+
     return joined.agg(
-        F.coalesce(F.bool_and(F.when(overall, F.col("f1_new") >= F.col("f1_old"))), F.lit(False)).alias("f1_ok"),
-        F.coalesce(F.bool_and(F.when(overall, F.col("auc_new") >= min_auc)), F.lit(False)).alias("auc_ok"),
+        F.coalesce(F.bool_and(F.when(overall, holds(F.col("f1_new") >= F.col("f1_old")))), F.lit(False)).alias("f1_ok"),
+        F.coalesce(F.bool_and(F.when(overall, F.coalesce(F.col("auc_new") >= min_auc, F.lit(False)))), F.lit(False)).alias("auc_ok"),
         F.coalesce(
-            F.bool_and(F.when(~overall, F.col("f1_new") >= F.col("f1_old") - group_tolerance)), F.lit(True)
+            F.bool_and(F.when(~overall, holds(F.col("f1_new") >= F.col("f1_old") - group_tolerance))), F.lit(True)
         ).alias("groups_ok"),
     ).withColumn("promote", F.col("f1_ok") & F.col("auc_ok") & F.col("groups_ok"))
 
@@ -295,15 +302,15 @@ def scenario_results(scenarios: DataFrame, scores: DataFrame, key: str, strict:
 
     The upper limit decides when there is one, else the lower limit; with
     ``strict`` both are checked. A limit of 0 counts as absent, as does null.
-    The risk level is informative only.
+    The risk level is informative only. A scenario without a score fails.
     """
-    joined = scenarios.join(scores, key)
+    joined = scenarios.join(scores, key, "left")
     upper = F.col("probability_max").isNotNull() & (F.col("probability_max") != 0)
     lower = F.col("probability_min").isNotNull() & (F.col("probability_min") != 0)
     upper_ok = ~upper | (F.col("probability") <= F.col("probability_max"))
     lower_ok = ~lower | (F.col("probability") >= F.col("probability_min"))
     passed = (upper_ok & lower_ok) if strict else F.when(upper, upper_ok).otherwise(lower_ok)
-    return joined.withColumn("passed", F.coalesce(passed, F.lit(False))).withColumn(
+    return joined.withColumn("passed", F.col("probability").isNotNull() & F.coalesce(passed, F.lit(False))).withColumn(
         "risk_match", F.col("risk_level") == F.col("expected_risk")
     )
 

@@ -7,6 +7,7 @@ Models are named specs; every fitted model ends up as a column expression or a
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -30,7 +31,6 @@ from riskweave.session import materialize
 VECTOR, LABEL, WEIGHT, FOLD = "features", "label", "weight", "fold"
 SEED = 42
 NEIGHBOURS = 5
-MAX_CLASSES = 100
 
 
 @dataclass(frozen=True)
@@ -47,26 +47,21 @@ class Sizes:
     stack_trees: int = 150
     iterations: int = 1000
     folds: int = 5
+    #: Depth of the plain forest: the most that MLlib allows.
+    forest_depth: int = 30
 
 
-SMALL = Sizes(trees=10, balanced_trees=10, balanced_depth=5, rounds=5, balanced_rounds=5, boost_depth=3,
-              stack_rounds=4, stack_trees=8, iterations=50, folds=3)
-
-
-def assemble(df: DataFrame, key: str, label: str, feature_names: Sequence[str]) -> DataFrame:
+def assemble(df: DataFrame, key: str, label: str, feature_names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """``(key, label, weight, features)``; the weight balances the classes.
 
-    The classes of a label are few: their weights become one expression.
+    The weights are joined, whatever the number of classes; rows of a null
+    label weigh 1. Columns in ``keep`` come along.
     """
-    classes = class_weights(df, label).limit(MAX_CLASSES + 1).collect()
-    if len(classes) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
-    weights = {r[label]: r["class_weight"] for r in classes}
-    weight = F.lit(1.0)
-    for value, w in weights.items():
-        weight = F.when(F.col(label) == value, F.lit(float(w))).otherwise(weight)
+    weights = class_weights(df, label).select(F.col(label).alias("_class"), "class_weight")
+    weight = F.coalesce(F.col("class_weight").cast("double"), F.lit(1.0))
     assembler = VectorAssembler(inputCols=list(feature_names), outputCol=VECTOR, handleInvalid="error")
-    return assembler.transform(df).select(key, F.col(label).cast("double").alias(LABEL), weight.alias(WEIGHT), VECTOR)
+    rows = assembler.transform(df).join(weights, F.col(label) == F.col("_class"), "left")
+    return rows.select(key, F.col(label).cast("double").alias(LABEL), weight.alias(WEIGHT), VECTOR, *keep)
 
 
 def _common(weighted: bool) -> dict:
@@ -84,10 +79,10 @@ def logistic(n_rows: int, weighted: bool, iterations: int = 1000) -> LogisticReg
 def plain_specs(n_rows: int, sizes: Sizes = Sizes()) -> dict[str, Estimator]:
     return {
         "LogisticRegression": logistic(n_rows, False, sizes.iterations),
-        "RandomForest": RandomForestClassifier(numTrees=sizes.trees, maxDepth=min(sizes.balanced_depth * 2, 20), seed=SEED, **_common(False)),
+        "RandomForest": RandomForestClassifier(numTrees=sizes.trees, maxDepth=sizes.forest_depth, seed=SEED, **_common(False)),
         "GradientBoosting": GBTClassifier(maxIter=sizes.rounds, maxDepth=3, stepSize=0.1, seed=SEED, **_common(False)),
         "BoostedDeep": GBTClassifier(maxIter=sizes.rounds, maxDepth=sizes.boost_depth + 1, stepSize=0.3, seed=SEED, **_common(False)),
-        "LinearSVC": LinearSVC(maxIter=max(5, min(sizes.iterations // 10, 100)), **_common(False)),
+        "LinearSVC": LinearSVC(maxIter=sizes.iterations, **_common(False)),
     }
 
 
@@ -249,7 +244,7 @@ def boosted_space(rng: random.Random) -> dict[str, float]:
     return {
         "maxIter": rng.randint(50, 300),
         "maxDepth": rng.randint(2, 10),
-        "stepSize": 10 ** rng.uniform(-2.0, -0.5228787452803376),
+        "stepSize": 10 ** rng.uniform(math.log10(0.01), math.log10(0.3)),
         "subsamplingRate": rng.uniform(0.6, 1.0),
         "featureSubsetStrategy": str(round(rng.uniform(0.6, 1.0), 4)),
     }
@@ -272,20 +267,15 @@ def random_search(
     folds: int = 3,
     seed: int = SEED,
     parallelism: int = 4,
-    limits: Mapping[str, float] | None = None,
 ) -> tuple[Model, dict, float]:
     """Best of ``trials`` random settings by mean fold F1 of the positive class.
 
-    ``limits`` caps settings of a trial run (for example the tree count).
     Returns the refitted model, its settings and the score.
     """
     rng = random.Random(seed)
     maps, settings = [], []
     for _ in range(trials):
         drawn = space(rng)
-        for name, top in (limits or {}).items():
-            if name in drawn:
-                drawn[name] = min(drawn[name], top)
         builder = ParamGridBuilder()
         for name, value in drawn.items():
             builder = builder.addGrid(estimator.getParam(name), [value])

@@ -87,6 +87,12 @@ def distinct_profile(spark, sf):
     return profile.distinct_profile(customers(spark, sf), views.NUMERIC + views.TEXT)
 
 
+def histogram_nan(spark, sf):
+    """NaN values count as null: they neither spoil the edges nor a bin."""
+    df = views.load(spark, sf, "lineitem")
+    return rounded(profile.histogram(df.select(F.when(F.col("l_linenumber") == 1, F.lit(float("nan"))).otherwise(F.col("l_extendedprice")).alias("v")), "v"), 4)
+
+
 def kde_grid(spark, sf):
     return rounded(profile.kde_grid(customers(spark, sf), "n_orders", 50))
 
@@ -107,7 +113,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         null_profile, range_check, table_profile, value_counts, label_shares, churn_by_services, churn_by_age_band,
-        churn_by_balance_band, churn_by_category, segment_profile, histogram20, histogram_value, box_stats,
+        churn_by_balance_band, churn_by_category, segment_profile, histogram20, histogram_value, histogram_nan, box_stats,
         corr_matrix, corr_with_target, distinct_profile, kde_grid, class_weights, outlier_counts,
         outlier_counts_customers,
     )
@@ -189,6 +195,7 @@ ORACLE = {
     "FROM customer_features UNION ALL SELECT 'frequent', frequent, churn FROM customer_features) GROUP BY 1, 2",
     "histogram20": with_views(["customer_features"]).rstrip() + ", m AS " + _hist_sql("customer_features", "tenure_days", 6),
     "histogram_value": "WITH m AS " + _hist_sql("lineitem", "l_extendedprice", 4),
+    "histogram_nan": "WITH h AS (SELECT CASE WHEN l_linenumber <> 1 THEN l_extendedprice END AS v FROM lineitem), m AS " + _hist_sql("h", "v", 4),
     "box_stats": _CF
     + "SELECT c.churn, count(*) AS n, max(q1) AS q1, max(med) AS median, max(q3) AS q3, "
     "min(tenure_days) FILTER (WHERE tenure_days >= q1 - 1.5 * (q3 - q1) AND tenure_days <= q3 + 1.5 * (q3 - q1))::DOUBLE AS whisker_low, "

@@ -132,6 +132,26 @@ def promotion_gate(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
+def promotion_gate_missing_group(spark, sf):
+    """The champion against itself without one group: not promoted."""
+    champion = _gate_table(spark, sf, F.col("p"))
+    lacking = champion.filter("NOT (slice = 'frequent' AND slice_value = 'Yes')")
+    return quality.promotion_gate(lacking, champion, min_auc=0.3)
+
+
+def scenario_unscored(spark, sf):
+    """Every third customer has no score: those scenarios fail and are counted."""
+    scores = _scored(spark, sf).filter("c_custkey % 3 <> 0")
+    scores = scores.select("c_custkey", F.col("p").alias("probability"), band(F.col("p")).alias("risk_level"))
+    return quality.scenario_check(quality.scenario_results(_scenarios(spark, sf), scores, "c_custkey"), "category")
+
+
+def label_auc_null_group(spark, sf):
+    """AUC per language where short documents have none: a null group stays."""
+    df = _labelled(spark, sf).withColumn("lang", F.when(F.col("n_chars") >= 300, F.col("lang")))
+    return rounded(quality.roc_auc(df, "quality", "n_chars", ["lang"]))
+
+
 def _scenarios(spark, sf):
     c = views.customer_features(spark, sf)
     many = F.col("frequent") == "Yes"
@@ -168,7 +188,7 @@ QUERIES = {
         binary_metrics, label_metrics, confusion_matrix, roc_auc, label_auc, roc_curve, threshold_sweep,
         threshold_sweep_groups, best_threshold, apply_threshold, risk_band, sliced_metrics, leaderboard,
         leaderboard_by_accuracy, best_model, leaderboard_union, quality_delta, promotion_gate, scenario_check,
-        scenario_check_strict, scenario_failures,
+        scenario_check_strict, scenario_failures, promotion_gate_missing_group, scenario_unscored, label_auc_null_group,
     )
 }
 
@@ -200,6 +220,7 @@ _M = {
 }
 _MR = ", ".join(f"round({v}, 6) AS {k}" for k, v in _M.items())
 _CELLS_AUC = "sum(pos * (cneg - neg + neg / 2::DOUBLE)) / (sum(pos)::DOUBLE * sum(neg))"
+_CELLS_AUC_SAFE = "sum(pos * (cneg - neg + neg / 2::DOUBLE)) / nullif(sum(pos)::DOUBLE * sum(neg), 0)"
 _RES = f"""res AS (SELECT c_mktsegment AS model_name, {_M['accuracy']} AS accuracy, {_M['f1_score']} AS f1_score,
             {_M['precision']} AS precision, {_M['recall']} AS recall FROM (SELECT c_mktsegment, {_cells('churn')} FROM s GROUP BY c_mktsegment))"""
 _THR = "thr AS (SELECT i AS threshold_id, 0.1::DOUBLE + i * ((0.1::DOUBLE + 0.01::DOUBLE) - 0.1::DOUBLE) AS threshold FROM (SELECT unnest(range(80)) AS i))"
@@ -237,10 +258,10 @@ def _gate(new: str, old: str, auc: float, name: str) -> str:
     f1 = "round(coalesce(2 * {t}.tp::DOUBLE / nullif({t}.pos_all + {t}.tp + {t}.fp, 0), 0), 9)"
     a, b = f1.format(t="a"), f1.format(t="b")
     return f"""SELECT f1_ok, auc_ok, groups_ok, f1_ok AND auc_ok AND groups_ok AS promote, '{name}' AS challenger FROM (
-        SELECT coalesce(bool_and({a} >= {b}) FILTER (WHERE slice = 'all'), false) AS f1_ok,
+        SELECT coalesce(bool_and(a.n IS NOT NULL AND {a} >= {b}) FILTER (WHERE slice = 'all'), false) AS f1_ok,
                coalesce(bool_and(a.roc_auc >= {auc}) FILTER (WHERE slice = 'all'), false) AS auc_ok,
-               coalesce(bool_and({a} >= {b} - 0.05::DOUBLE) FILTER (WHERE slice <> 'all'), true) AS groups_ok
-        FROM {new} a JOIN {old} b USING (slice, slice_value))"""
+               coalesce(bool_and(a.n IS NOT NULL AND {a} >= {b} - 0.05::DOUBLE) FILTER (WHERE slice <> 'all'), true) AS groups_ok
+        FROM {old} b LEFT JOIN {new} a USING (slice, slice_value))"""
 
 
 _SCEN = """scen AS (SELECT c_custkey, c_mktsegment AS category, CASE WHEN frequent = 'Yes' THEN 'Low' ELSE 'Medium' END AS expected_risk,
@@ -316,6 +337,16 @@ ORACLE = {
     + _gate("rival", "champ", 0.90, "inverted")
     + " UNION ALL "
     + _gate("champ", "champ", 0.3, "same"),
+    "promotion_gate_missing_group": _s(_slices("p", "champ", True))
+    + "SELECT f1_ok, auc_ok, groups_ok, promote FROM ("
+    + _gate("(SELECT * FROM champ WHERE NOT (slice = 'frequent' AND slice_value = 'Yes'))", "champ", 0.3, "same")
+    + ")",
+    "scenario_unscored": _s(_SCEN) + _check(f"c_custkey % 3 <> 0 AND ({_PASS})"),
+    "label_auc_null_group": f"WITH {_LAB}, own AS (SELECT CASE WHEN n_chars >= 300 THEN lang END AS lang, quality, n_chars FROM lab) "
+    f"""SELECT lang, sum(pos)::BIGINT AS n_pos, sum(neg)::BIGINT AS n_neg, round({_CELLS_AUC_SAFE}, 6) AS roc_auc FROM (
+        SELECT *, sum(neg) OVER (PARTITION BY lang ORDER BY score ROWS UNBOUNDED PRECEDING) AS cneg FROM (
+          SELECT lang, n_chars AS score, count(*) FILTER (WHERE quality = 1) AS pos, count(*) FILTER (WHERE quality <> 1) AS neg
+          FROM own WHERE quality IS NOT NULL GROUP BY 1, 2)) GROUP BY lang""",
     "scenario_check": _s(_SCEN) + _check(_PASS),
     "scenario_check_strict": _s(_SCEN) + _check(_PASS_STRICT),
     "scenario_failures": _s(_SCEN)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 
+from pyspark.sql import functions as F
+
 from riskweave.operators import split
 from riskweave.plans import views
 from riskweave.plans.views import with_views
@@ -75,6 +77,12 @@ def stratified_kfold_exact(spark, sf):
     return split.stratified_folds(_customers(spark, sf), KEY, "churn", 5, exact=True).select("c_custkey", "churn", "fold")
 
 
+def stratified_kfold_null_labels(spark, sf):
+    """Exact folds where some labels are unknown: those rows are spread too."""
+    df = _customers(spark, sf).withColumn("churn", F.when(F.col("c_custkey") % 7 != 0, F.col("churn")))
+    return split.stratified_folds(df, KEY, "churn", 5, exact=True).select("c_custkey", "churn", "fold")
+
+
 def union_current(spark, sf):
     df = _customers(spark, sf)
     old, new = df.filter("frequent = 'Yes'"), df.filter("has_urgent = 'Yes'")
@@ -86,6 +94,7 @@ QUERIES = {
     for f in (
         split_stratified, split_hash, sample_n, sample_with_replacement, sample_stratified, covariate_shift,
         duplicate_profile, duplicate_lines, leakage_overlap, group_kfold, stratified_kfold, stratified_kfold_exact,
+        stratified_kfold_null_labels,
         union_current,
     )
 }
@@ -141,6 +150,9 @@ ORACLE = {
     "stratified_kfold": _CF + f"SELECT c_custkey, churn, {_number(f'md5({_KEY})')} % 5 AS fold FROM customer_features",
     "stratified_kfold_exact": _CF
     + f"SELECT c_custkey, churn, (row_number() OVER (PARTITION BY churn ORDER BY md5({_KEY})) - 1) % 5 AS fold FROM customer_features",
+    "stratified_kfold_null_labels": _CF
+    + f"SELECT c_custkey, churn, (row_number() OVER (PARTITION BY churn ORDER BY md5({_KEY})) - 1) % 5 AS fold FROM "
+    "(SELECT c_custkey, CASE WHEN c_custkey % 7 <> 0 THEN churn END AS churn FROM customer_features)",
     "union_current": _CF
     + "SELECT c_custkey, n_orders FROM customer_features WHERE frequent = 'Yes' UNION ALL "
     "SELECT c_custkey, n_orders FROM customer_features WHERE has_urgent = 'Yes'",

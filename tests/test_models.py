@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 
 from riskweave.operators import explain, neighbors, quality, training
 from riskweave.operators.registry import Registry
-from riskweave.operators.training import SMALL
+from riskweave.operators.training import Sizes
+
+#: Quick fits: the tests look at behaviour, not at quality.
+SMALL = Sizes(trees=10, balanced_trees=10, balanced_depth=5, rounds=5, balanced_rounds=5, boost_depth=3,
+              stack_rounds=4, stack_trees=8, iterations=50, folds=3, forest_depth=10)
 from riskweave.plans import training_job
 from riskweave.sources import models as packages
 
