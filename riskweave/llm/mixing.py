@@ -25,7 +25,7 @@ from riskweave.llm.common import NOT_SPACE
 from riskweave.session import materialize
 
 BLOCK_WORDS = 32
-SHARD_WORDS = 16_000_000
+SHARD_WORDS = 500_000
 WEIGHTS = (1, 2, 3)
 MOST_REPEATS = 3
 SEED = 42
