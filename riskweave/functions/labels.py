@@ -102,7 +102,7 @@ def recommendation_table(spark: SparkSession, language: str = "en") -> DataFrame
     return spark.createDataFrame(rows, "risk_level string, description string, recommendation string")
 
 
-def readable_factor(feature: Column, pairs: dict[str, tuple[str, ...]], language: str = "ru") -> Column:
+def readable_factor(feature: Column, pairs: dict[str, tuple[str, ...]], language: str = "en") -> Column:
     """Human name of a feature; interaction names are resolved to their parts.
 
     ``pairs`` maps generated names (``poly_k``) to the multiplied features.

@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.functions.encoding import CUSTOMER_CODES, map_encode
 from riskweave.functions.labels import apply_threshold, recommendation_table, risk_band
 from riskweave.operators.features import Interactions, align_schema
+from riskweave.operators.registry import Registry
+from riskweave.operators.training import VECTOR, add_score
+from riskweave.sources.models import load_package
 from riskweave.sources.tables import rename
 
 # fixed values: what an absent answer counts as
@@ -67,14 +70,29 @@ def score_model(
     interactions: Interactions | None = None,
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Score with a fitted pipeline; columns the model knows but the table
-    lacks count as 0."""
+    """Score raw encoded rows with a fitted model or stack; columns the model
+    knows but the table lacks count as 0."""
     wide = interactions.transform(df) if interactions is not None else df
     aligned = align_schema(wide, [*keep, *feature_names], on_missing="zero")
-    scored = model.transform(aligned)
-    return decide(
-        scored.select(*keep, vector_to_array("probability")[1].alias("probability")), threshold
-    )
+    vectors = VectorAssembler(inputCols=list(feature_names), outputCol=VECTOR, handleInvalid="error").transform(aligned)
+    return decide(add_score(vectors.select(*keep, VECTOR), model, "probability").select(*keep, "probability"), threshold)
+
+
+def score_champion(df: DataFrame, registry: Registry, name: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Score with the package that the champion alias of ``name`` points to."""
+    version = registry.champion(name).first()
+    if version is None or version["package_path"] is None:
+        raise ValueError(f"{name} has no champion with a package")
+    model, meta = load_package(df.sparkSession, version["package_path"])
+    return score_model(df, model, meta["feature_names"], meta["threshold"], meta["interactions"], keep)
+
+
+def model_info(registry: Registry, name: str) -> dict:
+    """What the champion is: name, version, threshold, metrics, run, training time."""
+    version = registry.champion(name).first()
+    _, meta = load_package(registry.spark, version["package_path"])
+    wanted = ("model_name", "threshold", "metrics", "run_id", "trained_at")
+    return {k: meta[k] for k in wanted} | {"model_version": version["version"], "n_features": len(meta["feature_names"])}
 
 
 def with_recommendation(scored: DataFrame, language: str = "en") -> DataFrame:

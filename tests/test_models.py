@@ -14,6 +14,7 @@ from riskweave.operators.training import Sizes
 SMALL = Sizes(trees=10, balanced_trees=10, balanced_depth=5, rounds=5, balanced_rounds=5, boost_depth=3,
               stack_rounds=4, stack_trees=8, iterations=50, folds=3, forest_depth=10)
 from riskweave.plans import training_job
+from riskweave.session import materialize
 from riskweave.sources import models as packages
 
 NAMES = ["Age", "FrequentFlyer", "AnnualIncomeClass", "ServicesOpted", "AccountSyncedToSocialMedia", "BookedHotelOrNot"]
@@ -65,8 +66,8 @@ def test_calibration_is_monotone_and_bounded(parts):
 def test_random_search_is_reproducible(parts):
     train = parts[0]
     spec = RandomForestClassifier(seed=1, featuresCol="features", labelCol="label")
-    a = training.random_search(spec, training.forest_space, train, "id", 2, 2, limits={"numTrees": 5, "maxDepth": 4})
-    b = training.random_search(spec, training.forest_space, train, "id", 2, 2, limits={"numTrees": 5, "maxDepth": 4})
+    a = training.random_search(spec, training.forest_space, train, "id", 2, 2)
+    b = training.random_search(spec, training.forest_space, train, "id", 2, 2)
     assert a[1] == b[1] and a[2] == pytest.approx(b[2]) and a[2] > 0.3
 
 
@@ -167,3 +168,25 @@ def test_whole_job_and_registry(spark, churn, tmp_path):
     assert store.champion("churn").first()["version"] == 2
     assert store.table("versions").count() == 2
     assert store.table("runs").filter("best").count() == 1
+
+
+def test_stack_package_scores_raw_rows(spark, churn, tmp_path):
+    """A stack that wins is saved whole, with its interactions, and scores raw rows as before."""
+    from riskweave.plans import scoring
+
+    rows, names, interactions = training_job.prepare(churn, "id", "Target")
+    rows = materialize(rows, "assembled")
+    train = rows.filter("part = 'train'")
+    specs = {k: v for k, v in training.stacking_specs(train.count(), SMALL).items() if k in ("rf", "lr")}
+    stack = training.fit_stack(train, "id", specs, 2, 20)
+    store, path = Registry(spark, str(tmp_path / "registry")), str(tmp_path / "stack")
+    packages.save_package(spark, path, stack, "Stacking", 0.3, names, {"f1_score": 0.5}, interactions=interactions)
+    store.register("churn", "run", path)
+    direct = {r["id"]: r["p"] for r in training.add_score(rows, stack, "p").select("id", "p").collect()}
+    scored = scoring.score_champion(churn, store, "churn", ["id"]).collect()
+    assert len(scored) == len(direct)
+    for r in scored:
+        assert r["probability"] == pytest.approx(direct[r["id"]], abs=1e-9)
+        assert r["prediction"] == int(direct[r["id"]] >= 0.3)
+    info = scoring.model_info(store, "churn")
+    assert (info["model_name"], info["model_version"], info["threshold"], info["n_features"]) == ("Stacking", 1, 0.3, len(names))
