@@ -40,6 +40,8 @@ BITS = 18
 FACTORS = 4
 EPOCHS = 8
 LEAST_CHI2 = 15.0
+#: What a toxic row counts in training; the others count 1.
+TOXIC_WEIGHT = 2.0
 WORD = re.compile(r"[^\W\d_]+")
 #: Words a task remembers the terms of, before it starts anew.
 REMEMBERED = 200_000
@@ -113,7 +115,7 @@ def train(rows: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS, ep
             w, f = weights(at), v[at]
             total = f.sum(axis=0)
             m = bias + w.sum() + 0.5 * (total**2 - (f**2).sum(axis=0)).sum()
-            g = 1 / (1 + np.exp(-np.clip(m, -30, 30))) - labels[i]
+            g = (1 / (1 + np.exp(-np.clip(m, -30, 30))) - labels[i]) * (TOXIC_WEIGHT if labels[i] else 1.0)
             b2 += g * g
             bias -= 0.1 * g / np.sqrt(b2)
             if len(at):
@@ -131,25 +133,27 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, train_rows: int =
     known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(~held_out).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     # bounded: at most train_rows ids, so the planner may broadcast them
     chosen = materialize(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows), "toxic-rows")
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").withColumn("key", F.xxhash64("doc_id", "text"))
 
     def local(batches):
         for b in batches:
             found = [terms(t.as_py() or "") for t in b.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.list_(pa.int32())), b.column("toxic").cast(pa.int32())], names=["terms", "toxic"]
+                [pa.array(found, pa.list_(pa.int32())), b.column("toxic").cast(pa.int32()), b.column("key")], names=["terms", "toxic", "key"]
             )
 
     def learn(batches):
-        found, y = [], []
+        found, y, keys = [], [], []
         for b in batches:
             column = b.column("terms")
             flat, ends = column.flatten().to_numpy(), np.cumsum(pa.compute.list_value_length(column).to_numpy())
             found += np.split(flat.copy(), ends[:-1])
             y += b.column("toxic").to_pylist()
-        return vars(train(found, np.array(y, dtype=np.float64)))
+            keys += b.column("key").to_pylist()
+        order = sorted(range(len(keys)), key=keys.__getitem__)  # the shuffle's order differs from run to run
+        return vars(train([found[i] for i in order], np.array(y, dtype=np.float64)[order]))
 
-    return Machine(**fit_in_task(rows.select("text", "toxic").mapInArrow(local, "terms array<int>, toxic int"), learn))
+    return Machine(**fit_in_task(rows.select("text", "toxic", "key").mapInArrow(local, "terms array<int>, toxic int, key long"), learn))
 
 
 def score(docs: DataFrame, machine: Machine, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
