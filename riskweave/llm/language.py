@@ -133,8 +133,11 @@ def fit(docs: DataFrame, held_out: Column, train_rows: int = TRAIN_ROWS) -> Mode
     df[found["gram"].to_numpy(dtype=np.int64)] = found["n"]
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
     key = F.xxhash64("doc_id")
-    first = Window.partitionBy("lang").orderBy(key, "doc_id")
-    chosen = known.select("doc_id", "lang").withColumn("place", F.row_number().over(first)).where(F.col("place") <= train_rows)
+    chosen = known.select("doc_id", "lang")
+    # first within parts of a language: each task keeps train_rows of a part, so a common one does not fill a task
+    for group in (["lang", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(8))], ["lang"]):
+        first = F.row_number().over(Window.partitionBy(*group).orderBy(key, "doc_id"))
+        chosen = chosen.withColumn("place", first).where(F.col("place") <= train_rows).drop("place")
     chosen = materialize(chosen.select("doc_id", F.col("lang").alias("_lang")).distinct(), "lang-rows")
     chosen = chosen.withColumnRenamed("doc_id", "_doc")
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("lang") == F.col("_lang"))
