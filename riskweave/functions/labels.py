@@ -54,6 +54,17 @@ RISK_DESCRIPTION = {
 }
 
 FEATURE_TEXT = {
+    "en": {
+        "Age": "age",
+        "FrequentFlyer": "frequent flyer",
+        "AnnualIncomeClass": "income class",
+        "ServicesOpted": "number of services",
+        "AccountSyncedToSocialMedia": "synced to social media",
+        "BookedHotelOrNot": "booked a hotel",
+        "services_per_age": "services relative to age",
+        "flyer_and_hotel": "frequent flyer and hotel",
+        "income_x_services": "income and number of services",
+    },
     "ru": {
         "Age": "Возраст",
         "FrequentFlyer": "Частый перелётчик",

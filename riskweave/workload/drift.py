@@ -125,6 +125,15 @@ def drift_source_gate(spark, sf):
     return drift.source_gate(dataset, journal)
 
 
+def drift_report_live(spark, sf):
+    """The report on the side that the source gate chooses: enough journal rows
+    are compared with the whole data set."""
+    events = views.event_periods(spark, sf)
+    sides, source = drift.choose_current(events.drop("is_ref"), events.filter("event_type = 'signup'").drop("is_ref"), F.col("event_id") % 5 > 0)
+    report = drift.drift_report(sides.select("is_ref", *FEATURES), FEATURES, p_mode="limit")
+    return report.withColumn("source", F.lit(source))
+
+
 def min_rows_gate(spark, sf):
     return drift.min_rows_gate(views.event_periods(spark, sf))
 
@@ -191,7 +200,7 @@ QUERIES = {
     for f in (
         value_shares, psi_categorical, tv_distance, ks_statistic, ks_pvalue_asym, ks_pvalue_auto, psi_numeric,
         psi_level, drift_report, drift_report_stable, drift_summary, drift_alert, retrain_trigger, chi_square_fit,
-        chi_square_homog, drift_monitor, drift_source_gate, min_rows_gate, latest_report, drift_history, drift_status,
+        chi_square_homog, drift_monitor, drift_source_gate, drift_report_live, min_rows_gate, latest_report, drift_history, drift_status,
         json_summary_normalize, json_roundtrip,
     )
 }
@@ -289,6 +298,12 @@ ORACLE = {
     + f"SELECT feature, psi, {_LEVEL} AS psi_level FROM (SELECT feature, round(psi, 4) AS psi FROM numrep)",
     "drift_report": _sides("event_shifted", "," + _REPORT) + "SELECT * FROM report",
     "drift_report_stable": _sides("event_periods", "," + _REPORT) + "SELECT * FROM report",
+    "drift_report_live": with_views(
+        ["event_periods"],
+        "live AS (SELECT * REPLACE (true AS is_ref) FROM event_periods UNION ALL SELECT * REPLACE (false AS is_ref) FROM event_periods "
+        "WHERE event_type = 'signup'), " + _side_sql("live") + "," + _REPORT,
+    )
+    + "SELECT *, 'live' AS source FROM report",
     "drift_summary": _sides("event_shifted", "," + _REPORT)
     + f"SELECT count(*) AS total_features, count(*) FILTER (WHERE drift_detected) AS drift_features, max(psi) AS max_psi, "
     f"max(n_ref) AS reference_size, max(n_cur) AS current_size, bool_or(drift_detected) AS alert, {_MESSAGE} AS message, "

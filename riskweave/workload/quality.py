@@ -352,3 +352,5 @@ ORACLE = {
     "scenario_failures": _s(_SCEN)
     + f"SELECT c_custkey, category, p AS probability, risk_level = expected_risk AS risk_match FROM scen WHERE NOT ({_PASS}) AND category = 'BUILDING'",
 }
+
+scored_sql, RESULTS_SQL = _s, _RES

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from riskweave.functions.labels import readable_factor
 from riskweave.operators import explain, neighbors, registry
 from riskweave.plans import scoring, views
 from riskweave.plans.views import with_views
 from riskweave.session import new_path
 from riskweave.workload.common import rounded
+from riskweave.workload.quality import RESULTS_SQL, scored_sql
 
 WEIGHTS = {
     "Age": -0.0005,
@@ -57,6 +59,11 @@ def top_factors(spark, sf):
     return ranked.select("c_custkey", "rank", "feature", F.round("contribution", 3).alias("contribution"), "direction")
 
 
+def top_factors_named(spark, sf):
+    """The factors under their readable names."""
+    return top_factors(spark, sf).withColumn("feature", readable_factor(F.col("feature"), {}))
+
+
 def encoding_parity(spark, sf):
     """Rows that the serving path encodes differently from the training table."""
     served = scoring.encode_requests(_requests(spark, sf)).select("c_custkey", *WEIGHTS)
@@ -136,7 +143,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         batch_score, risk_recommendation, top_factors, encoding_parity, knn_neighbours, knn_classify, latest_runs,
-        registry_view, status_counts, run_log,
+        registry_view, status_counts, run_log, top_factors_named,
     )
 }
 
@@ -165,6 +172,18 @@ ORACLE = {
     "top_factors": with_views(["customer_codes"], f"f AS ({_FACTORS})")
     + """SELECT c_custkey, rank, feature, round(round(v, 4), 3) AS contribution, CASE WHEN v > 0 THEN 'raises risk' ELSE 'retains' END AS direction
          FROM (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY abs(v) DESC, pos) AS rank FROM f) WHERE rank <= 3""",
+    "top_factors_named": with_views(["customer_codes"], f"f AS ({_FACTORS})")
+    + """SELECT c_custkey, rank, CASE feature WHEN 'Age' THEN 'age' WHEN 'FrequentFlyer' THEN 'frequent flyer' WHEN 'AnnualIncomeClass' THEN 'income class'
+           WHEN 'ServicesOpted' THEN 'number of services' WHEN 'AccountSyncedToSocialMedia' THEN 'synced to social media'
+           WHEN 'BookedHotelOrNot' THEN 'booked a hotel' ELSE feature END AS feature,
+           round(round(v, 4), 3) AS contribution, CASE WHEN v > 0 THEN 'raises risk' ELSE 'retains' END AS direction
+         FROM (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY abs(v) DESC, pos) AS rank FROM f) WHERE rank <= 3""",
+    "run_log": scored_sql(
+        RESULTS_SQL + ", ranked AS (SELECT model_name, f1_score, row_number() OVER (ORDER BY f1_score DESC, model_name) AS place FROM res), "
+        "rounds AS (SELECT *, i, place = 3 - i AS best FROM ranked, (VALUES (1), (2)) AS t(i))"
+    )
+    + f"""SELECT model_name AS run_name, best, CASE WHEN best THEN {THRESHOLD}::DOUBLE ELSE 0.5::DOUBLE END AS threshold, CASE WHEN best THEN i END AS version,
+            CASE WHEN best THEN CASE WHEN i = 2 THEN 'champion' ELSE '' END END AS aliases, round(f1_score, 4) AS f1_score FROM rounds""",
     "encoding_parity": with_views(
         ["customer_codes"],
         """codes(col, v, code) AS (VALUES ('f', 'Yes', 1), ('i', 'Middle Income', 1), ('i', 'High Income', 2), ('s', 'Yes', 1), ('h', 'No', 1)),
