@@ -31,6 +31,8 @@ from riskweave.session import materialize
 VECTOR, LABEL, WEIGHT, FOLD = "features", "label", "weight", "fold"
 SEED = 42
 NEIGHBOURS = 5
+#: Fits that run at once; each is a series of small Spark jobs.
+PARALLEL = 8
 
 
 @dataclass(frozen=True)
@@ -108,7 +110,7 @@ def stacking_specs(n_rows: int, sizes: Sizes = Sizes()) -> dict[str, Estimator]:
     }
 
 
-def fit_all(specs: Mapping[str, Estimator], train: DataFrame, parallelism: int = 4) -> dict[str, Model]:
+def fit_all(specs: Mapping[str, Estimator], train: DataFrame, parallelism: int = PARALLEL) -> dict[str, Model]:
     """Fit every spec; the fits are Spark jobs that share the cluster."""
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         fitted = {name: pool.submit(spec.fit, train) for name, spec in specs.items()}
@@ -192,24 +194,30 @@ class Stack:
         return self.meta.transform(renamed).drop(VECTOR, *self.inputs).withColumnRenamed("_base", VECTOR)
 
 
-def fit_stack(train: DataFrame, key: str, specs: Mapping[str, Estimator], folds: int = 5, iterations: int = 1000, parallelism: int = 4) -> Stack:
+def fit_stack(
+    train: DataFrame, key: str, specs: Mapping[str, Estimator], folds: int = 5, iterations: int = 1000, parallelism: int = PARALLEL
+) -> Stack:
     """Meta model on out-of-fold scores: a row is never scored by a model that
-    saw it. Scores are added as columns, so nothing is shuffled for them."""
+    saw it. Scores are added as columns, so nothing is shuffled for them. All
+    fits, of the folds and of the final models, share one pool."""
     folded = with_folds(train, key, folds)
     inputs = [f"m_{name}" for name in specs]
+    sides = {i: folded.filter(F.col(FOLD) != i) for i in range(folds)} | {folds: train}
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        running = {(i, name): pool.submit(spec.copy().fit, side) for i, side in sides.items() for name, spec in specs.items()}
+        fitted = {k: f.result() for k, f in running.items()}
     held_out = None
     for i in range(folds):
-        fitted = fit_all(specs, folded.filter(F.col(FOLD) != i), parallelism)
         part = folded.filter(F.col(FOLD) == i)
-        for name, model in fitted.items():
-            part = add_score(part, model, f"m_{name}")
+        for name in specs:
+            part = add_score(part, fitted[i, name], f"m_{name}")
         part = part.select(key, LABEL, WEIGHT, *inputs)
         held_out = part if held_out is None else held_out.unionByName(part)
     meta_rows = VectorAssembler(inputCols=inputs, outputCol=VECTOR).transform(held_out).select(LABEL, WEIGHT, VECTOR)
     # written once: the iterations of the meta model do not repeat the scoring
     meta_rows = materialize(meta_rows, "stacked")
     meta = logistic(meta_rows.count(), True, iterations).fit(meta_rows)
-    return Stack(fit_all(specs, train, parallelism), meta, inputs)
+    return Stack({name: fitted[folds, name] for name in specs}, meta, inputs)
 
 
 @dataclass
@@ -231,12 +239,15 @@ class Calibrated:
 def calibrate(spec: Estimator, train: DataFrame, key: str, folds: int = 3) -> Calibrated:
     """Isotonic calibration on out-of-fold scores."""
     folded = with_folds(train, key, folds)
-    pairs = []
-    for i in range(folds):
-        model = spec.fit(folded.filter(F.col(FOLD) != i))
+
+    def fold(i: int) -> tuple[Model, Model]:
+        model = spec.copy().fit(folded.filter(F.col(FOLD) != i))
         scored = add_score(folded.filter(F.col(FOLD) == i), model, "_raw")
         isotonic = IsotonicRegression(featuresCol="_raw", labelCol=LABEL, weightCol=WEIGHT)
-        pairs.append((model, isotonic.fit(scored.select("_raw", LABEL, F.lit(1.0).alias(WEIGHT)))))
+        return model, isotonic.fit(scored.select("_raw", LABEL, F.lit(1.0).alias(WEIGHT)))
+
+    with ThreadPoolExecutor(max_workers=PARALLEL) as pool:
+        pairs = list(pool.map(fold, range(folds)))
     return Calibrated(pairs)
 
 
@@ -266,7 +277,7 @@ def random_search(
     trials: int = 30,
     folds: int = 3,
     seed: int = SEED,
-    parallelism: int = 4,
+    parallelism: int = PARALLEL,
 ) -> tuple[Model, dict, float]:
     """Best of ``trials`` random settings by mean fold F1 of the positive class.
 

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from riskweave.functions.labels import PSI_FLOOR, psi_level
-from riskweave.operators.drift import numeric_counts, numeric_statistics
+from riskweave.operators.drift import drift_alert, drift_summary, numeric_counts, numeric_statistics
+from riskweave.session import materialize
 
 COUNT_SCHEMA = "day string, feature string, value string, n bigint, batch_id bigint"
 
@@ -62,9 +63,20 @@ def reference_edges(reference: DataFrame, numeric: Sequence[str]) -> dict[str, l
     return {r["feature"]: list(r["edges"] or []) for r in numeric_statistics(counts).select("feature", "edges").collect()}
 
 
-def append_batch(df: DataFrame, batch_id: int, path: str) -> None:
+def append_batch(df: DataFrame, batch_id: int, path: str, by: Sequence[str] = ()) -> None:
     """Write one micro-batch to its own folder: a repeat replaces itself."""
-    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(*by) if by else writer).parquet(f"{path}/batch_id={batch_id}")
+
+
+def append_drift(report: DataFrame, run_time: str, batch_id: int, history: str, alerts: str | None = None) -> None:
+    """Add the summary of a report to the history, and an alert if there is
+    drift; a repeated batch replaces what it wrote before."""
+    summary = drift_summary(report)
+    append_batch(summary.withColumn("timestamp", F.lit(run_time)), batch_id, history)
+    if alerts:
+        found = drift_alert(summary).filter("drift_detected")
+        append_batch(found.withColumn("timestamp", F.lit(run_time)), batch_id, alerts)
 
 
 def daily_counts_stream(long: DataFrame, path: str, checkpoint: str, watermark: str = "1 day") -> None:
@@ -81,7 +93,7 @@ def daily_counts_stream(long: DataFrame, path: str, checkpoint: str, watermark:
     )
     query = (
         counts.writeStream.outputMode("update")
-        .foreachBatch(lambda df, batch_id: append_batch(df, batch_id, path))
+        .foreachBatch(lambda df, batch_id: append_batch(df, batch_id, path, ["day"]))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -89,9 +101,12 @@ def daily_counts_stream(long: DataFrame, path: str, checkpoint: str, watermark:
     query.awaitTermination()
 
 
-def daily_counts(spark: SparkSession, path: str) -> DataFrame:
-    """The newest count of each ``(day, feature, value)``."""
+def daily_counts(spark: SparkSession, path: str, days: Sequence[str] | None = None) -> DataFrame:
+    """The newest count of each ``(day, feature, value)``; the table is laid out
+    by day, so with ``days`` only their folders are read."""
     stored = spark.read.schema(COUNT_SCHEMA).parquet(path)
+    if days is not None:
+        stored = stored.filter(F.col("day").isin(list(days)))
     return stored.groupBy("day", "feature", "value").agg(F.max_by("n", "batch_id").alias("n"))
 
 
@@ -144,19 +159,24 @@ def daily_drift(counts: DataFrame, shares: DataFrame) -> DataFrame:
     ).withColumn("psi_level", psi_level(F.col("psi")))
 
 
-def daily_drift_stream(long: DataFrame, shares: DataFrame, counts_path: str, drift_path: str, checkpoint: str) -> None:
+def daily_drift_stream(
+    long: DataFrame, shares: DataFrame, counts_path: str, drift_path: str, checkpoint: str, watermark: str = "1 day"
+) -> None:
     """Counts as in :func:`daily_counts_stream`; after each micro-batch the
-    drift of the days it touched is computed from the stored counts."""
+    drift of the days it touched is computed from the stored counts of those
+    days. The reference shares are written once and read back."""
     spark = long.sparkSession
+    shares = materialize(shares, "shares")
 
     def after_batch(df: DataFrame, batch_id: int) -> None:
-        append_batch(df, batch_id, counts_path)
-        changed = spark.read.parquet(f"{counts_path}/batch_id={batch_id}").select("day").distinct()
-        current = daily_counts(spark, counts_path).join(changed, "day", "left_semi")
-        append_batch(daily_drift(current, shares), batch_id, drift_path)
+        append_batch(df, batch_id, counts_path, ["day"])
+        stored = spark.read.schema(COUNT_SCHEMA).parquet(counts_path).filter(F.col("batch_id") == batch_id)
+        # the days of one micro-batch: a few behind the watermark and the new ones
+        days = [r["day"] for r in stored.select("day").distinct().collect()]
+        append_batch(daily_drift(daily_counts(spark, counts_path, days), shares), batch_id, drift_path)
 
     counts = (
-        long.withWatermark("ts", "1 day")
+        long.withWatermark("ts", watermark)
         .groupBy(F.window("ts", "1 day").alias("w"), "feature", "value")
         .agg(F.count(F.lit(1)).alias("n"))
         .select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "feature", "value", "n")

@@ -9,6 +9,7 @@ from riskweave.plans import views
 from riskweave.plans.views import with_views
 from riskweave.session import new_path
 from riskweave.sources import tables
+from riskweave.streaming import jobs
 from riskweave.workload.common import rounded
 
 FEATURES = ["value", "k", "event_type"]
@@ -125,6 +126,32 @@ def drift_source_gate(spark, sf):
     return drift.source_gate(dataset, journal)
 
 
+def chi_square_many(spark, sf):
+    """500 degrees of freedom: the same law as for a few."""
+    df = views.event_periods(spark, sf).select("is_ref", (F.col("event_id") % 501).cast("string").alias("bucket"))
+    return rounded(drift.chi_square_homogeneity(drift.category_counts(df, ["bucket"])).select("feature", "chi_square", "dof", "p_value"), 6)
+
+
+def _appended(spark, sf):
+    """A quiet and a shifted report appended as two batches, the second repeated."""
+    history, alerts = new_path(spark, "history"), new_path(spark, "alerts")
+    for batch, view in ((0, views.event_periods), (1, views.event_shifted), (1, views.event_shifted)):
+        jobs.append_drift(_report(spark, sf, view), f"2024-01-0{batch + 1}", batch, history, alerts)
+    return history, alerts
+
+
+def drift_history_append(spark, sf):
+    stored = spark.read.parquet(_appended(spark, sf)[0])
+    return drift.newest_first(stored, "timestamp").select(
+        "timestamp", F.col("batch_id").cast("bigint").alias("batch_id"), "total_features", "drift_features", "max_psi", "alert", "message"
+    )
+
+
+def alert_append(spark, sf):
+    stored = spark.read.parquet(_appended(spark, sf)[1])
+    return stored.select("timestamp", F.col("batch_id").cast("bigint").alias("batch_id"), "alert_type", "drift_detected", F.array_join("affected_columns", ",").alias("affected_columns"), "message")
+
+
 def drift_report_live(spark, sf):
     """The report on the side that the source gate chooses: enough journal rows
     are compared with the whole data set."""
@@ -200,7 +227,7 @@ QUERIES = {
     for f in (
         value_shares, psi_categorical, tv_distance, ks_statistic, ks_pvalue_asym, ks_pvalue_auto, psi_numeric,
         psi_level, drift_report, drift_report_stable, drift_summary, drift_alert, retrain_trigger, chi_square_fit,
-        chi_square_homog, drift_monitor, drift_source_gate, drift_report_live, min_rows_gate, latest_report, drift_history, drift_status,
+        chi_square_homog, drift_monitor, drift_source_gate, drift_report_live, chi_square_many, drift_history_append, alert_append, min_rows_gate, latest_report, drift_history, drift_status,
         json_summary_normalize, json_roundtrip,
     )
 }
@@ -284,7 +311,22 @@ _DAILY = """daily AS (SELECT strftime(ts, '%Y-%m-%d') AS timestamp, count(*) AS
 # upper tail of chi-square with 4 degrees of freedom: exp(-x/2) (1 + x/2)
 _CHI4 = "exp(-chi / 2) * (1 + chi / 2)"
 
+def _two_reports(select: str) -> str:
+    """``select`` over the report of either batch."""
+    parts = []
+    for batch, view in enumerate(("event_periods", "event_shifted")):
+        query = _sides(view, "," + _REPORT) + f"SELECT '2024-01-0{batch + 1}' AS timestamp, {batch}::BIGINT AS batch_id, {select} FROM report"
+        parts.append(f"SELECT * FROM ({query})")
+    return " UNION ALL ".join(parts)
+
+
 ORACLE = {
+    "drift_history_append": _two_reports(
+        f"count(*) AS total_features, count(*) FILTER (WHERE drift_detected) AS drift_features, max(psi) AS max_psi, bool_or(drift_detected) AS alert, {_MESSAGE} AS message"
+    ),
+    "alert_append": "SELECT * FROM ("
+    + _two_reports(f"'data_drift' AS alert_type, bool_or(drift_detected) AS drift_detected, {_AFFECTED} AS affected_columns, {_MESSAGE} AS message")
+    + ") WHERE drift_detected",
     "value_shares": _sides("event_periods")
     + "SELECT feature, v AS value, n_ref, n_cur, round(n_ref / tot_ref::DOUBLE, 6) AS ref_share, "
     "round(n_cur / tot_cur::DOUBLE, 6) AS cur_share FROM tcat",
@@ -298,6 +340,14 @@ ORACLE = {
     + f"SELECT feature, psi, {_LEVEL} AS psi_level FROM (SELECT feature, round(psi, 4) AS psi FROM numrep)",
     "drift_report": _sides("event_shifted", "," + _REPORT) + "SELECT * FROM report",
     "drift_report_stable": _sides("event_periods", "," + _REPORT) + "SELECT * FROM report",
+    "chi_square_many": with_views(
+        ["event_periods"],
+        """c AS (SELECT count(*) FILTER (WHERE is_ref)::DOUBLE AS r, count(*) FILTER (WHERE NOT is_ref)::DOUBLE AS u FROM event_periods GROUP BY event_id % 501),
+           e AS (SELECT *, sum(r) OVER () * (r + u) / (sum(r) OVER () + sum(u) OVER ()) AS er, sum(u) OVER () * (r + u) / (sum(r) OVER () + sum(u) OVER ()) AS eu FROM c),
+           x AS (SELECT sum((r - er) * (r - er) / er + (u - eu) * (u - eu) / eu) AS chi, count(*) - 1 AS dof FROM e)""",
+    )
+    + "SELECT 'bucket' AS feature, round(chi, 6) AS chi_square, dof, round((SELECT sum(exp(k * ln(chi / 2) - chi / 2 - lgamma(k + 1))) "
+    "FROM (SELECT unnest(range(250)) AS k)), 6) AS p_value FROM x",
     "drift_report_live": with_views(
         ["event_periods"],
         "live AS (SELECT * REPLACE (true AS is_ref) FROM event_periods UNION ALL SELECT * REPLACE (false AS is_ref) FROM event_periods "

@@ -137,3 +137,15 @@ def test_golden_group_rates(spark):
     df = spark.createDataFrame([(c, int(i < k)) for c, n, k in rows for i in range(n)], "income int, Target int")
     got = {r["income"]: round(r["churn_rate"], 6) for r in profile.group_rate(df, ["income"], "Target").collect()}
     assert got == {0: 0.26943, 1: 0.06846, 2: 0.578616}
+
+
+def test_exact_folds_keep_rows_without_label(spark):
+    df = spark.range(1000).select("id", F.when(F.col("id") % 10 != 0, F.col("id") % 2).alias("y"))
+    rows = split.stratified_folds(df, ["id"], "y", 5, exact=True).groupBy("y", "fold").count().collect()
+    assert sum(r["count"] for r in rows) == 1000
+    assert {r["count"] for r in rows if r["y"] is None} == {20}
+
+
+def test_histogram_ignores_nan(spark):
+    df = spark.createDataFrame([(0.0,), (1.0,), (2.0,), (float("nan"),), (None,)], "x double")
+    assert [r["n"] for r in profile.histogram(df, "x", 2).orderBy("bin_id").collect()] == [1, 2]

@@ -38,6 +38,29 @@ def test_dense_codes_of_texts(spark):
     assert got == {w: i for i, w in enumerate(sorted(words))}
 
 
+def test_null_groups_keep_their_order(spark):
+    df = spark.createDataFrame([(g, k, v, 1) for g in ("a", None) for k in (1, None) for v in range(30)], "g string, k int, v int, c bigint")
+    rows = prefix_counts(df, ["g", "k"], "v", ["c"]).collect()
+    assert len(rows) == 120 and all(r["cum_c"] == r["v"] + 1 and r["tot_c"] == 30 for r in rows)
+
+
+def test_buckets_are_even_and_grow(spark):
+    """No bucket holds much more than its share of many distinct values."""
+    from riskweave.operators.ordered import cells_of, split_points
+
+    df = spark.range(200_000).select(F.xxhash64("id").alias("v"))
+    assert cells_of(df) >= 512
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "1000")
+        assert cells_of(df) == 4000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    edges = split_points(df, [], "v", 512)
+    sizes = with_bucket(df.crossJoin(F.broadcast(edges)), "v", 512).groupBy("_bucket").count().agg(F.max("count"), F.count("*")).first()
+    assert sizes[0] <= 3.5 * 200_000 / 512 and sizes[1] >= 450
+
+
 def test_binary_search(spark):
     edges = [0.5, 1.0, 1.0, 2.5]
     df = spark.createDataFrame([(float(v) / 4,) for v in range(-4, 16)], "v double")

@@ -113,6 +113,9 @@ def test_promotion_rules(spark):
     assert not decide([("all", "all", 0.79, 0.95), ("g", "a", 0.7, 0.9)])
     assert not decide([("all", "all", 0.85, 0.89), ("g", "a", 0.7, 0.9)])
     assert not decide([("all", "all", 0.85, 0.95), ("g", "a", 0.6, 0.9)])
+    # a group that the challenger lacks, or has no number for, fails
+    assert not decide([("all", "all", 0.85, 0.95)])
+    assert not decide([("all", "all", 0.85, 0.95), ("g", "a", None, 0.9)])
 
 
 def test_scenarios(spark):
@@ -130,3 +133,13 @@ def test_scenarios(spark):
     totals = {r["category"]: (r["total"], r["pass_rate"]) for r in quality.scenario_check(quality.scenario_results(s, scores, "id"), "category").collect()}
     assert totals == {"positive": (1, 100), "negative": (1, 0), "edge": (2, 100)}
     assert quality.filter_results(quality.scenario_results(s, scores, "id"), "fail").count() == 1
+    # without a score a scenario fails and still counts
+    few = quality.scenario_results(s, scores.filter("id <> 'edge_2'"), "id")
+    assert few.count() == 4 and not {r["id"]: r["passed"] for r in few.collect()}["edge_2"]
+
+
+def test_null_groups_and_nan_scores(spark):
+    rows = [("a", 1, 0.9), ("a", 0, 0.1), (None, 1, 0.2), (None, 0, 0.8), (None, 1, 0.9), ("a", 1, float("nan"))]
+    df = spark.createDataFrame(rows, "g string, y int, p double")
+    got = {r["g"]: (r["n_pos"], r["n_neg"], r["roc_auc"]) for r in quality.roc_auc(df, "y", "p", ["g"]).collect()}
+    assert got == {"a": (1, 1, 1.0), None: (2, 1, 0.5)}
