@@ -1,21 +1,25 @@
-"""Exact k nearest neighbours as a block join.
-
-Both tables are cut into hash blocks of bounded size. Every pair of blocks is
-one group that yields only the k best training rows per query, so neither a
-table nor all pairs of rows ever exist in one place; a second step keeps the k
-best over all blocks.
+"""Exact k nearest neighbours by cells around centres.
+
+A bounded sample of training vectors serves as centres; every training vector
+belongs to the cell of its nearest centre, and a cell has a radius. A query
+first searches its nearest cells until they hold ``k`` rows, which bounds its
+k-th distance; then only cells whose lower bound (distance to the centre less
+the radius) does not exceed it. The triangle inequality makes that exact, and
+the work follows the cells that remain instead of queries times rows. Cells are
+cut into blocks of bounded size; every pair of a query group and a block yields
+at most ``k`` rows per query.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK_ROWS = 2_048
+from riskweave.session import materialize
+
+BLOCK_ROWS, CENTRES = 2_048, 256
 
 
 def _nearest_in_block(query: np.ndarray, train: np.ndarray, k: int, same: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -34,6 +38,49 @@ def _nearest_in_block(query: np.ndarray, train: np.ndarray, k: int, same: np.nda
     return rows, cols, np.einsum("ij,ij->i", diff, diff)
 
 
+def _centre_distances(vectors: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    square = (vectors**2).sum(1)[:, None] + (centres**2).sum(1)[None, :] - 2.0 * vectors @ centres.T
+    return np.sqrt(np.maximum(square, 0.0))
+
+
+class Cells:
+    """Centres, radii and sizes of the cells of a training table."""
+
+    def __init__(self, rows: DataFrame, vector: str, most: int, block_rows: int):
+        """``rows`` gets the columns ``cell`` and ``block``."""
+        chosen = rows.select(vector, F.xxhash64(vector).alias("_h")).distinct().orderBy("_h").limit(most).collect()
+        self.centres = np.array([r[vector] for r in chosen], dtype=np.float64)
+        centres = self.centres
+
+        def assign(batches):
+            for b in batches:
+                d = _centre_distances(np.stack(b[vector].to_list()), centres)
+                near = d.argmin(1)
+                yield b.assign(cell=near.astype(np.int32), away=d[np.arange(len(b)), near])
+
+        schema = ", ".join(f"{c} {t}" for c, t in rows.dtypes) + ", cell int, away double"
+        self.rows = materialize(rows.mapInPandas(assign, schema), "cells")
+        # one row per centre
+        found = {r["cell"]: r for r in self.rows.groupBy("cell").agg(F.max("away").alias("r"), F.count(F.lit(1)).alias("n")).collect()}
+        self.radius = np.array([found[c]["r"] if c in found else -np.inf for c in range(len(centres))])
+        self.size = np.array([found[c]["n"] if c in found else 0 for c in range(len(centres))])
+        self.blocks = np.maximum(1, -(-self.size // block_rows)).astype(int)
+
+    def __getstate__(self) -> dict:
+        return {name: value for name, value in vars(self).items() if name != "rows"}  # tables stay on the driver
+
+    def first(self, d: np.ndarray, k: int) -> list[np.ndarray]:
+        """Per query its nearest cells that hold ``k`` rows together."""
+        order = np.argsort(d, axis=1, kind="stable")
+        held = np.cumsum(self.size[order], axis=1)
+        return [o[: int(np.searchsorted(h, k)) + 1] for o, h in zip(order, held, strict=True)]
+
+    def within(self, d: np.ndarray, bound: np.ndarray) -> list[np.ndarray]:
+        """Per query the cells that may hold a row as near as ``bound``."""
+        slack = 1e-9 * (1.0 + np.abs(d).max(initial=0.0))
+        return [np.flatnonzero((x - self.radius <= b + slack) & (self.size > 0)) for x, b in zip(d, bound, strict=True)]
+
+
 def nearest(
     train: DataFrame,
     query: DataFrame,
@@ -43,47 +90,77 @@ def nearest(
     payload: str | None = None,
     exclude_same_key: bool = False,
     block_rows: int = BLOCK_ROWS,
+    centres: int = CENTRES,
 ) -> DataFrame:
     """``(query_key, train_key, distance, rank[, payload])`` for the k nearest.
 
-    Squared Euclidean order; equal distances by smaller training key.
+    Squared Euclidean order; equal distances by smaller training key. Rows
+    without a vector take no part.
     """
-    train_blocks = max(1, math.ceil(train.count() / block_rows))
-    query_blocks = max(1, math.ceil(query.count() / block_rows))
     extra = [payload] if payload else []
-    block = lambda n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
-    t = train.select(
-        F.col(key).alias("t_key"),
-        F.col(vector).cast("array<double>").alias("t_vec"),
-        *[F.col(p).alias("t_payload") for p in extra],
-        block(train_blocks).alias("tb"),
-    ).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-    q = query.select(
-        F.col(key).alias("q_key"), F.col(vector).cast("array<double>").alias("q_vec"), block(query_blocks).alias("qb")
-    ).withColumn("tb", F.explode(F.sequence(F.lit(0), F.lit(train_blocks - 1))))
+    t = train.filter(F.col(vector).isNotNull()).select(
+        F.col(key).alias("t_key"), F.col(vector).cast("array<double>").alias("t_vec"), *[F.col(p).alias("t_payload") for p in extra]
+    )
+    q = query.filter(F.col(vector).isNotNull()).select(F.col(key).alias("q_key"), F.col(vector).cast("array<double>").alias("q_vec"))
+    cells = Cells(t, "t_vec", centres, block_rows)
+    kind, query_kind = dict(t.dtypes), dict(q.dtypes)["q_key"]
+    columns = ["q_key", "t_key", "d2", *(["t_payload"] if extra else [])]
+    schema = f"q_key {query_kind}, t_key {kind['t_key']}, d2 double" + (f", t_payload {kind['t_payload']}" if extra else "")
+    count = F.create_map(*[F.lit(int(x)) for c, n in enumerate(cells.blocks) for x in (c, n)]) if len(cells.blocks) else None
+    if count is None:
+        return _ranked(q.sparkSession.createDataFrame([], schema), k, extra)
+    blocks = F.element_at(count, F.col("cell"))
+    stored = cells.rows.drop("away").withColumn("block", F.pmod(F.xxhash64("t_key"), blocks).cast("int"))
+    need = k + int(exclude_same_key)
 
     def best_of_pair(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        columns = ["q_key", "t_key", "d2", *(["t_payload"] if extra else [])]
         if left.empty or right.empty:
             return pd.DataFrame(columns=columns)
-        a, b = np.stack(left["q_vec"].to_list()), np.stack(right["t_vec"].to_list())
-        same = left["q_key"].to_numpy()[:, None] == right["t_key"].to_numpy()[None, :] if exclude_same_key else None
-        rows, cols, d2 = _nearest_in_block(a, b, k, same)
-        out = pd.DataFrame(
-            {"q_key": left["q_key"].to_numpy()[rows], "t_key": right["t_key"].to_numpy()[cols], "d2": d2}
-        )
-        if extra:
-            out["t_payload"] = right["t_payload"].to_numpy()[cols]
-        return out.sort_values(["q_key", "d2", "t_key"]).groupby("q_key", sort=False).head(k)[columns]
-
-    kind = dict(t.dtypes)
-    schema = f"q_key {dict(q.dtypes)['q_key']}, t_key {kind['t_key']}, d2 double"
-    if extra:
-        schema += f", t_payload {kind['t_payload']}"
-    best = q.groupBy("qb", "tb").cogroup(t.groupBy("qb", "tb")).applyInPandas(best_of_pair, schema)
+        b, b_key = np.stack(right["t_vec"].to_list()), right["t_key"].to_numpy()
+        parts = []
+        for at in range(0, len(left), BLOCK_ROWS):
+            own = left.iloc[at : at + BLOCK_ROWS]
+            a, a_key = np.stack(own["q_vec"].to_list()), own["q_key"].to_numpy()
+            same = a_key[:, None] == b_key[None, :] if exclude_same_key else None
+            rows, cols, d2 = _nearest_in_block(a, b, k, same)
+            out = pd.DataFrame({"q_key": a_key[rows], "t_key": b_key[cols], "d2": d2})
+            if extra:
+                out["t_payload"] = right["t_payload"].to_numpy()[cols]
+            parts.append(out.sort_values(["q_key", "d2", "t_key"]).groupby("q_key", sort=False).head(k)[columns])
+        return pd.concat(parts)
+
+    def send(choose):
+        def local(batches):
+            for b in batches:
+                d = _centre_distances(np.stack(b["q_vec"].to_list()), cells.centres)
+                chosen = choose(b, d)
+                at = np.repeat(np.arange(len(b)), [len(c) for c in chosen])
+                yield b[["q_key", "q_vec"]].iloc[at].assign(cell=np.concatenate(chosen).astype(np.int32) if len(at) else np.zeros(0, np.int32))
+
+        return local
+
+    def search(asked: DataFrame) -> DataFrame:
+        spread = asked.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        return spread.groupBy("cell", "block").cogroup(stored.groupBy("cell", "block")).applyInPandas(best_of_pair, schema)
+
+    sent = f"q_key {query_kind}, q_vec array<double>, cell int"
+    near = materialize(search(q.mapInPandas(send(lambda b, d: cells.first(d, need)), sent)), "near")
+    rank = F.row_number().over(Window.partitionBy("q_key").orderBy("d2", "t_key"))
+    bound = near.withColumn("rank", rank).filter(F.col("rank") == k).select("q_key", F.sqrt("d2").alias("bound"))
+
+    def rest(b: pd.DataFrame, d: np.ndarray) -> list[np.ndarray]:
+        seen = cells.first(d, need)
+        wide = cells.within(d, b["bound"].to_numpy())
+        return [np.setdiff1d(w, s, assume_unique=True) for w, s in zip(wide, seen, strict=True)]
+
+    bounded = q.join(bound, "q_key", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
+    far = search(bounded.mapInPandas(send(rest), sent))
+    return _ranked(near.unionByName(far), k, extra)
+
+
+def _ranked(found: DataFrame, k: int, extra: list[str]) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("q_key").orderBy("d2", "t_key"))
-    ranked = best.withColumn("rank", rank).filter(F.col("rank") <= k)
-    return ranked.select(
+    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select(
         F.col("q_key").alias("query_key"),
         F.col("t_key").alias("train_key"),
         F.sqrt("d2").alias("distance"),

@@ -151,6 +151,25 @@ def test_neighbours_against_brute_force(spark, block):
         assert [got[i][k] for k in range(1, 5)] == want
 
 
+def test_cells_leave_most_pairs_out(spark):
+    """Pairs that are looked at grow clearly less than queries times rows, and nothing is lost."""
+    rng = np.random.default_rng(5)
+    centre = rng.normal(size=(40, 4)) * 20
+    x = centre[rng.integers(0, 40, 2000)] + rng.normal(size=(2000, 4))
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "id int, v array<double>, y int")
+    cells = neighbors.Cells(df.select("v"), "v", 64, 2048)
+    d = neighbors._centre_distances(x, cells.centres)
+    exact = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(2))
+    kth = np.sort(exact, axis=1)[:, 5]
+    visited = sum(cells.size[w].sum() for w in cells.within(d, kth))
+    assert visited < 0.25 * 2000 * 2000
+    got = neighbors.nearest(df, df.filter("id < 50"), "id", "v", 5, "y", exclude_same_key=True, centres=64)
+    found = {(r["query_key"], r["rank"]): r["distance"] for r in got.collect()}
+    for i in range(50):
+        assert [found[i, n + 1] for n in range(5)] == pytest.approx(np.sort(exact[i])[1:6])
+    assert neighbors.nearest(df.limit(0), df, "id", "v").count() == 0
+
+
 def test_majority_prefers_the_smaller_label(spark):
     df = spark.createDataFrame([(1, 3), (1, 2), (1, 2), (1, 3)], "query_key int, y int")
     assert neighbors.classify(df, "y").first()["predicted"] == 2
