@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.functions.binning import tercile_label
@@ -47,6 +47,19 @@ def fit_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
     return {r["feature"]: [r[f"q{i}"] for i in range(len(probs))] for r in rows}
 
 
+def columns_with_nulls(df: DataFrame) -> set[str]:
+    """Columns that hold a null (or NaN), from one pass."""
+    kinds = dict(df.dtypes)
+
+    def empty(c: str) -> Column:
+        return F.col(c).isNull() | F.isnan(c) if kinds[c] in ("double", "float") else F.col(c).isNull()
+
+    if not kinds:
+        return set()
+    row = df.agg(*[F.coalesce(F.bool_or(empty(c)), F.lit(False)).alias(f"_{i}") for i, c in enumerate(kinds)]).first()
+    return {c for i, c in enumerate(kinds) if row[f"_{i}"]}
+
+
 def fit_medians(df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False) -> dict[str, float]:
     columns = numeric_columns(df) if columns is None else columns
     return {c: q[0] for c, q in fit_quantiles(df, columns, [0.5], approximate).items()}
@@ -215,12 +228,15 @@ def encode_first_seen(df: DataFrame, columns: Sequence[str], order_key: str) ->
     return apply_dictionary(df, dictionary, columns), dictionary
 
 
-def fit_terciles(df: DataFrame, column: str) -> tuple[float, float]:
-    q = fit_quantiles(df, [column], TERCILES)[column]
-    return q[0], q[1]
+def fit_terciles(df: DataFrame, column: str) -> tuple[float, float] | None:
+    """The two cuts; None for a column without values."""
+    q = fit_quantiles(df, [column], TERCILES).get(column)
+    return (q[0], q[1]) if q else None
 
 
-def with_tercile(df: DataFrame, column: str, cuts: tuple[float, float], name: str) -> DataFrame:
+def with_tercile(df: DataFrame, column: str, cuts: tuple[float, float] | None, name: str) -> DataFrame:
+    if cuts is None:
+        return df.withColumn(name, F.lit(None).cast("string"))
     return df.withColumn(name, tercile_label(F.col(column), F.lit(cuts[0]), F.lit(cuts[1])))
 
 

@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 from riskweave.functions.encoding import FLYER_CODES, INCOME_CODES, coerce_int, map_encode, safe_ratio
 from riskweave.operators import prep
 from riskweave.operators.ordered import numeric_columns, text_columns
+from riskweave.session import materialize
 
 SERVICE_COLUMNS = ("walk_in_count", "web_login_count", "mobile_app_login_count")
 
 
 def clean(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Median / mode imputation of every column with values (``keep`` untouched)."""
-    numeric = [c for c in numeric_columns(df) if c not in keep]
-    text = [c for c in text_columns(df) if c not in keep]
+    """Median / mode imputation of the columns that have nulls (``keep``
+    untouched): one count finds them, the others keep their type."""
+    lacking = prep.columns_with_nulls(df)
+    numeric = [c for c in numeric_columns(df) if c in lacking and c not in keep]
+    text = [c for c in text_columns(df) if c in lacking and c not in keep]
     return prep.impute(df, prep.fit_medians(df, numeric), prep.fit_modes(df, text))
 
 
@@ -33,12 +36,15 @@ def derive(df: DataFrame, tercile_cuts: tuple[float, float] | None) -> DataFrame
     return out
 
 
-def generic_cleaning(df: DataFrame, label: str, keys: Sequence[str] = ()) -> DataFrame:
+def generic_cleaning(df: DataFrame, label: str, keys: Sequence[str] = (), write_input: bool = False) -> DataFrame:
     """Impute, derive, clip. The label and the key columns stay as they are.
 
-    Two fitting jobs whatever the number of columns: medians and modes, then
-    terciles and quartiles together; the result is one projection.
+    A count of nulls and two fitting jobs whatever the number of columns:
+    medians and modes, then terciles and quartiles together; the result is one
+    projection. ``write_input`` writes the table once before, for an input that
+    is dear to compute (not for a plain scan).
     """
+    df = materialize(df, "cleaning") if write_input else df
     keep = [label, *keys]
     filled = clean(df, keep)
     unlabelled = derive(filled, None)
@@ -56,9 +62,12 @@ def customer_cleaning(
     flyer: str = "FrequentFlyer",
     income: str = "AnnualIncomeClass",
     services: str = "ServicesOpted",
+    write_input: bool = False,
 ) -> DataFrame:
     """Impute, map the ordered categories, code the other texts by first
-    appearance along ``order_key``. The label is left as it is."""
+    appearance along ``order_key``. The label is left as it is. ``write_input``
+    as in :func:`generic_cleaning`."""
+    df = materialize(df, "cleaning") if write_input else df
     out = clean(df, [order_key, *([label] if label else [])])
     kinds = dict(out.dtypes)
     changes = {}

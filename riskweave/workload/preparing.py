@@ -147,7 +147,7 @@ def prep_roundtrip(spark, sf):
 
 
 def etl_generic(spark, sf):
-    return rounded(cleaning.generic_cleaning(views.event_user(spark, sf), "Target", ["user_id"]))
+    return rounded(cleaning.generic_cleaning(views.event_user(spark, sf), "Target", ["user_id"], write_input=True))
 
 
 def etl_churn(spark, sf):
@@ -158,7 +158,7 @@ def etl_churn(spark, sf):
             "BookedHotelOrNot": F.when(F.col(KEY) % 11 != 0, F.col("BookedHotelOrNot")),
         }
     )
-    return rounded(cleaning.customer_cleaning(holed, KEY))
+    return rounded(cleaning.customer_cleaning(holed, KEY, write_input=True))
 
 
 def csv_roundtrip(spark, sf):
