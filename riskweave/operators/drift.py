@@ -198,6 +198,14 @@ def binned_counts(counts: DataFrame, stats: DataFrame) -> DataFrame:
     )
 
 
+def ks_distances(counts: DataFrame) -> DataFrame:
+    """The KS distance alone, ``(feature, n_ref, n_cur, ks)``: no bins, no second
+    look at the counts."""
+    prefix = prefix_counts(counts, ["feature"], "value", ["n_ref", "n_cur"])
+    gap = F.abs(_share("cum_n_ref", "tot_n_ref") - _share("cum_n_cur", "tot_n_cur"))
+    return prefix.groupBy("feature").agg(F.max("tot_n_ref").alias("n_ref"), F.max("tot_n_cur").alias("n_cur"), F.max(gap).alias("ks"))
+
+
 def numeric_report(counts: DataFrame) -> DataFrame:
     """KS, PSI, means and sample deviations per numeric feature (unrounded)."""
     bins = binned_counts(counts, numeric_statistics(counts))
@@ -231,7 +239,7 @@ def category_report(counts: DataFrame) -> DataFrame:
 
 
 def with_ks_pvalue(report: DataFrame, mode: str = "auto") -> DataFrame:
-    """Add ``p_value`` to a numeric report.
+    """Add ``p_value`` and ``p_method`` (the law that gave it) to a numeric report.
 
     ``limit``: Kolmogorov's series. ``corrected``: the series with a
     finite-sample correction. ``auto``: the exact two-sample probability when
@@ -239,10 +247,10 @@ def with_ks_pvalue(report: DataFrame, mode: str = "auto") -> DataFrame:
     """
     effective = F.col("n_ref") * F.col("n_cur") / (F.col("n_ref") + F.col("n_cur"))
     if mode == "limit":
-        return report.withColumn("p_value", ks_pvalue_limit(F.col("ks"), effective))
+        return report.withColumn("p_value", ks_pvalue_limit(F.col("ks"), effective)).withColumn("p_method", F.lit("limit"))
     corrected = ks_pvalue_corrected(F.col("ks"), effective)
     if mode == "corrected":
-        return report.withColumn("p_value", corrected)
+        return report.withColumn("p_value", corrected).withColumn("p_method", F.lit("corrected"))
     if mode != "auto":
         raise ValueError(f"unknown p-value mode {mode!r}")
     small = F.greatest("n_ref", "n_cur") <= KS_EXACT_LIMIT
@@ -253,7 +261,7 @@ def with_ks_pvalue(report: DataFrame, mode: str = "auto") -> DataFrame:
     )
     return spread.withColumn("_exact", exact).withColumn(
         "p_value", F.when(small, F.col("_exact")).otherwise(corrected)
-    ).drop("_exact")
+    ).withColumn("p_method", F.when(small, "exact").otherwise("corrected")).drop("_exact")
 
 
 def drift_report(

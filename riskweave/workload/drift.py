@@ -31,18 +31,22 @@ def _numeric_report(spark, sf, view):
     return drift.numeric_report(drift.numeric_counts(view(spark, sf), ["value", "k"]))
 
 
+def _distances(spark, sf, view):
+    return drift.ks_distances(drift.numeric_counts(view(spark, sf), ["value", "k"]))
+
+
 def ks_statistic(spark, sf):
-    return rounded(_numeric_report(spark, sf, views.event_shifted).select("feature", "n_ref", "n_cur", "ks"))
+    return rounded(_distances(spark, sf, views.event_shifted))
 
 
 def ks_pvalue_asym(spark, sf):
-    df = drift.with_ks_pvalue(_numeric_report(spark, sf, views.event_periods), "limit")
+    df = drift.with_ks_pvalue(_distances(spark, sf, views.event_periods), "limit")
     return rounded(df.select("feature", "ks", "p_value"))
 
 
 def ks_pvalue_auto(spark, sf):
-    df = drift.with_ks_pvalue(_numeric_report(spark, sf, views.event_periods), "auto")
-    return rounded(df.select("feature", "n_ref", "n_cur", "ks", "p_value"))
+    df = drift.with_ks_pvalue(_distances(spark, sf, views.event_periods), "auto")
+    return rounded(df.select("feature", "n_ref", "n_cur", "ks", "p_value", "p_method"))
 
 
 def psi_numeric(spark, sf):
