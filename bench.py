@@ -14,7 +14,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from riskweave.session import build_session  # noqa: E402
+from riskweave.session import build_session, clean_up  # noqa: E402
 from riskweave.workload import all_queries  # noqa: E402
 
 HEADLINE = (
@@ -59,6 +59,7 @@ def main() -> None:
                 best = took
         seconds[name] = round(best, 3)
         print(f"{name}: {seconds[name]}", file=sys.stderr, flush=True)
+    clean_up(spark)
     print(
         json.dumps(
             {

@@ -46,9 +46,28 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+_made: list[str] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; see :func:`clean_up`."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def clean_up(spark: SparkSession) -> int:
+    """Remove what this process wrote below the shared folder.
+
+    For the end of a job: tables that are still to be computed may read from
+    there. Paths are deleted through Spark's file system, wherever they are.
+    """
+    removed = 0
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    while _made:
+        path = hadoop.Path(_made.pop())
+        removed += bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))
+    return removed
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

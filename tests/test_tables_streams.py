@@ -148,3 +148,15 @@ def test_repeated_batch_changes_nothing(spark, tmp_path):
     jobs.append_batch(df, 1, path)
     jobs.append_batch(df, 1, path)
     assert spark.read.parquet(path).count() == 2
+
+
+def test_clean_up_removes_what_was_written(spark, monkeypatch):
+    import os
+
+    from riskweave import session
+
+    monkeypatch.setattr(session, "_made", [])
+    table = session.materialize(spark.range(3), "gone")
+    path = session._made[0].removeprefix("file:")
+    assert table.count() == 3 and os.path.isdir(path)
+    assert session.clean_up(spark) == 1 and not os.path.exists(path) and session.clean_up(spark) == 0
