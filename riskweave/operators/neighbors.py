@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from riskweave.session import materialize
 
-BLOCK_ROWS, CENTRES = 2_048, 256
+BLOCK_ROWS, CENTRES, CELL_ROWS = 2_048, 256, 2_048
 
 
 def _nearest_in_block(query: np.ndarray, train: np.ndarray, k: int, same: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -91,18 +91,20 @@ def nearest(
     exclude_same_key: bool = False,
     block_rows: int = BLOCK_ROWS,
     centres: int = CENTRES,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """``(query_key, train_key, distance, rank[, payload])`` for the k nearest.
 
     Squared Euclidean order; equal distances by smaller training key. Rows
-    without a vector take no part.
+    without a vector take no part. There is a centre for every ``cell_rows``
+    training rows, and at most ``centres``; the result is the same for any number.
     """
     extra = [payload] if payload else []
     t = train.filter(F.col(vector).isNotNull()).select(
         F.col(key).alias("t_key"), F.col(vector).cast("array<double>").alias("t_vec"), *[F.col(p).alias("t_payload") for p in extra]
     )
     q = query.filter(F.col(vector).isNotNull()).select(F.col(key).alias("q_key"), F.col(vector).cast("array<double>").alias("q_vec"))
-    cells = Cells(t, "t_vec", centres, block_rows)
+    cells = Cells(t, "t_vec", max(1, min(centres, t.count() // cell_rows)), block_rows)
     kind, query_kind = dict(t.dtypes), dict(q.dtypes)["q_key"]
     columns = ["q_key", "t_key", "d2", *(["t_payload"] if extra else [])]
     schema = f"q_key {query_kind}, t_key {kind['t_key']}, d2 double" + (f", t_payload {kind['t_payload']}" if extra else "")
@@ -144,7 +146,10 @@ def nearest(
         return spread.groupBy("cell", "block").cogroup(stored.groupBy("cell", "block")).applyInPandas(best_of_pair, schema)
 
     sent = f"q_key {query_kind}, q_vec array<double>, cell int"
-    near = materialize(search(q.mapInPandas(send(lambda b, d: cells.first(d, need)), sent)), "near")
+    near = search(q.mapInPandas(send(lambda b, d: cells.first(d, need)), sent))
+    if len(cells.centres) == 1:
+        return _ranked(near, k, extra)
+    near = materialize(near, "near")
     rank = F.row_number().over(Window.partitionBy("q_key").orderBy("d2", "t_key"))
     bound = near.withColumn("rank", rank).filter(F.col("rank") == k).select("q_key", F.sqrt("d2").alias("bound"))
 

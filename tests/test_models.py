@@ -143,7 +143,7 @@ def test_neighbours_against_brute_force(spark, block):
     x = rng.integers(0, 4, (60, 3)).astype(float)  # many ties and copies
     df = spark.createDataFrame([(i, v.tolist(), i % 3) for i, v in enumerate(x)], "id int, v array<double>, y int")
     got = {}
-    for r in neighbors.nearest(df, df, "id", "v", 4, "y", exclude_same_key=True, block_rows=block).collect():
+    for r in neighbors.nearest(df, df, "id", "v", 4, "y", exclude_same_key=True, block_rows=block, cell_rows=10).collect():
         got.setdefault(r["query_key"], {})[r["rank"]] = r["train_key"]
     for i in range(60):
         d = ((x - x[i]) ** 2).sum(1)
@@ -163,7 +163,7 @@ def test_cells_leave_most_pairs_out(spark):
     kth = np.sort(exact, axis=1)[:, 5]
     visited = sum(cells.size[w].sum() for w in cells.within(d, kth))
     assert visited < 0.25 * 2000 * 2000
-    got = neighbors.nearest(df, df.filter("id < 50"), "id", "v", 5, "y", exclude_same_key=True, centres=64)
+    got = neighbors.nearest(df, df.filter("id < 50"), "id", "v", 5, "y", exclude_same_key=True, centres=64, cell_rows=30)
     found = {(r["query_key"], r["rank"]): r["distance"] for r in got.collect()}
     for i in range(50):
         assert [found[i, n + 1] for n in range(5)] == pytest.approx(np.sort(exact[i])[1:6])
