@@ -27,6 +27,23 @@ def test_machine_learns_an_interaction():
     assert right > 0.97
 
 
+def test_pairs_of_neutral_terms_are_learned_among_all_terms():
+    """Each of the two terms alone is as frequent in toxic as in clean texts; nothing picks them out beforehand."""
+    for fill, vocabulary, often in ((5, 40, 0.5), (60, 2000, 0.5)):
+        rng = np.random.default_rng(0)
+        rows, labels = [], []
+        for _ in range(2500):
+            insult, group = (rng.random(2) < often).tolist()
+            words = ["insult"] * insult + ["group"] * group + [f"w{rng.integers(0, vocabulary)}" for _ in range(fill)]
+            rows.append(toxicity.terms(" ".join(words)))
+            labels.append(float(insult != group))
+        y = np.array(labels)
+        m = toxicity.train(rows[:2000], y[:2000])
+        assert set(np.concatenate(rows[:2000]).tolist()) == set(m.kept.tolist())
+        at = [np.searchsorted(m.kept, r[np.isin(r, m.kept)]) for r in rows[2000:]]
+        assert np.mean([(m.margin(a) >= 0) == t for a, t in zip(at, labels[2000:], strict=True)]) > 0.97
+
+
 def test_toxicity_end_to_end(spark):
     rng = random.Random(1)
     rows, labels = [], []
