@@ -1,10 +1,11 @@
 """Mixing sources to target weights by Sainte-Lague apportionment.
 
 Targets are words per source; they are apportioned as equal blocks of words to
-the sources by highest quotients, and each source's blocks to its shards the
-same way. In a shard the documents stand in an order given by a seed, the
-stream of their words is cut into blocks, and the first ones up to the quota
-are taken (a source that must be repeated is first taken whole).
+the sources by highest quotients. The documents of a source stand in an order
+given by a seed, the stream of their words is cut into blocks, and the first
+ones up to the quota are taken (a source that must be repeated is first taken
+whole). A large source is cut into shards that follow each other in this order,
+so the result does not depend on their number.
 
 Defined cases: a null text has size 0; a document of size 0 is taken 0 times; a
 source without words gets target 0; a null source is a source of its own, last
@@ -94,7 +95,7 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
 
 def _quotas(group: list[str], votes: str, seats: str, schema: str, df: DataFrame) -> DataFrame:
     def award(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["source", "shard"] if "shard" in part else ["source"], na_position="last", kind="stable")
+        part = part.sort_values("source", na_position="last", kind="stable")
         return part.assign(blocks=sainte_lague(part[votes].to_numpy(), int(part[seats].iloc[0])))[[x.split()[0] for x in schema.split(", ")]]
 
     return df.groupBy(*group).applyInPandas(award, schema)
@@ -111,8 +112,9 @@ def mix(
     """doc_id, size, source_size, target, taken (words, repeats counted), source.
 
     ``docs`` needs doc_id, text and source. Sizes are counted once and written
-    to the shared folder. A source is split into shards of bounded size before
-    the running sum, so a hot source is as parallel as its share of the words.
+    to the shared folder. A source is split into key ranges of bounded size, whose
+    totals give the running sum its offsets, so a hot source is as parallel as
+    its share of the words.
     """
     sized = materialize(
         docs.select(
@@ -147,12 +149,15 @@ def mix(
     )
     parts = plan.withColumnRenamed("source", "_source")
     placed = sized.join(parts, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    placed = placed.withColumn("shard", F.conv(F.substring("key", 1, 8), 16, 10).cast("long") % F.col("shards"))
-    cells = placed.groupBy("source", "shard").agg(F.sum("size").alias("words"), F.first("rest_blocks").alias("seats"))
-    blocks = materialize(_quotas(["source"], "words", "seats", "source string, shard long, blocks long", cells), "mix-quotas")
+    # ranges of the key: it is a hash, so they are about equal
+    placed = placed.withColumn("shard", F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * F.col("shards") / F.lit(float(1 << 32))))
+    earlier = Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    words_of = placed.groupBy("source", "shard").agg(F.sum("size").alias("words"))  # one row per shard
+    cell = materialize(words_of.withColumn("offset", F.coalesce(F.sum("words").over(earlier), F.lit(0))), "mix-offsets")
+    cell = cell.select(F.col("source").alias("_source"), F.col("shard").alias("_shard"), "offset")
     order = Window.partitionBy("source", "shard").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     streamed = placed.withColumn("start", F.coalesce(F.sum("size").over(order), F.lit(0)))
-    cell = blocks.select(F.col("source").alias("_source"), F.col("shard").alias("_shard"), "blocks")
     out = streamed.join(cell, F.col("source").eqNullSafe(F.col("_source")) & (F.col("shard") == F.col("_shard")))
-    part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("blocks") * block_words - F.col("start")))
+    left = F.col("rest_blocks") * block_words - F.col("offset") - F.col("start")
+    part = F.greatest(F.lit(0), F.least(F.col("size"), left))
     return out.select("doc_id", "size", "source_size", "target", (F.col("repeats") * F.col("size") + part).cast("long").alias("taken"), "source")

@@ -69,6 +69,21 @@ def test_targets_are_met_in_one_and_in_many_shards(spark):
             assert abs(taken[s] - want[s]) <= 64 + 0.02 * want[s]
 
 
+def test_many_shards_give_the_rows_of_the_sql(spark):
+    import duckdb
+    import pandas as pd
+    from riskweave.llm import queries
+
+    rng = random.Random(6)
+    rows = [(i, " ".join(["w"] * rng.randrange(0, 120)), None, rng.choice(["a"] * 8 + ["b", "c", "d", None])) for i in range(600)]
+    with duckdb.connect() as db:
+        db.register("documents", pd.DataFrame([(i, t, s) for i, t, _, s in rows], columns=["doc_id", "text", "source"]))
+        want = {r[0]: (r[1], r[2], r[4]) for r in db.execute(queries.ORACLE["op2_mix_sources"]).fetchall()}
+    assert len(want) == len(rows)
+    for options in ({}, {"shard_words": 1_000}):
+        assert {r.doc_id: (r.size, r.source_size, r.taken) for r in mixing.mix(documents(spark, rows), **options).collect()} == want
+
+
 def test_reruns_agree_and_odd_rows(spark):
     rows = [(1, None, None, "a"), (1, "", None, "a"), (2, "x y", None, None), (None, "x", None, "b"), (3, "p q r", None, "b"), (3, "p q r", None, "b"), (4, "w " * 30_000, None, "c")]
     check(spark, rows)
