@@ -5,8 +5,8 @@ then calibrated by one temperature.
 Features are the 1- to 3-grams of a lower-case text, hashed to ``1 << BITS``;
 log term frequency times inverse document frequency, unit length. Document
 frequencies count every training row; the weights are learned from at most
-``TRAIN_ROWS`` rows of each language, those with the least hash of their id, of
-which one in five is kept for the temperature. Prediction covers whole texts.
+``TRAIN_ROWS`` rows of each language, those with the least hash of id and text
+(a repeated row counts once there), of which one in five is kept for the temperature. Prediction covers whole texts.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
 rows with a null language are not learned from; without any training row every
@@ -132,16 +132,17 @@ def fit(docs: DataFrame, held_out: Column, train_rows: int = TRAIN_ROWS) -> Mode
     df = np.zeros((1 << BITS) + 1)
     df[found["gram"].to_numpy(dtype=np.int64)] = found["n"]
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
-    key = F.xxhash64("doc_id")
-    chosen = known.select("doc_id", "lang")
+    # one row per id and text, ranked by both: copies neither fill the places nor come along
+    rows = known.withColumn("_digest", F.xxhash64("text"))
+    key = F.xxhash64("doc_id", "_digest")
+    chosen = rows.select("doc_id", "lang", "_digest").distinct()
     # first within parts of a language: each task keeps train_rows of a part, so a common one does not fill a task
-    for group in (["lang", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(8))], ["lang"]):
-        first = F.row_number().over(Window.partitionBy(*group).orderBy(key, "doc_id"))
+    for group in (["lang", F.pmod(F.xxhash64("doc_id", "_digest", F.lit(1)), F.lit(8))], ["lang"]):
+        first = F.row_number().over(Window.partitionBy(*group).orderBy(key, "doc_id", "_digest"))
         chosen = chosen.withColumn("place", first).where(F.col("place") <= train_rows).drop("place")
-    chosen = materialize(chosen.select("doc_id", F.col("lang").alias("_lang")).distinct(), "lang-rows")
-    chosen = chosen.withColumnRenamed("doc_id", "_doc")
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("lang") == F.col("_lang"))
-    sample = known.select("doc_id", "text", "lang").join(chosen, same, "left_semi").select("text", "lang", key.alias("key"))
+    chosen = materialize(chosen.select(F.col("doc_id").alias("_doc"), F.col("lang").alias("_lang"), F.col("_digest").alias("_text")), "lang-rows")
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("lang") == F.col("_lang")) & (F.col("_digest") == F.col("_text"))
+    sample = rows.join(chosen, same, "left_semi").dropDuplicates(["doc_id", "lang", "_digest"]).select("text", "lang", key.alias("key"))
 
     def learn(batches):
         texts = sorted((r["key"], r["text"], r["lang"]) for b in batches for r in b.to_pylist())

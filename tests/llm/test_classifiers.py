@@ -99,6 +99,17 @@ def test_language_end_to_end(spark):
     assert by[403].lang_pred == by[404].lang_pred == "aa" and all(0 <= r.score <= 1 for r in got)
 
 
+def test_language_sample_is_bounded_in_rows(spark, monkeypatch):
+    """Copies of one id, and null ids, neither exceed the bound nor crowd out other documents."""
+    rows = [(None, "kalo mitu", "aa")] * 300 + [(7, "lomi tuka", "aa")] * 300 + [(1000 + i, f"kami {i} tulo", "aa") for i in range(30)]
+    taken = []
+    real = language.fit_in_task
+    monkeypatch.setattr(language, "fit_in_task", lambda sample, learn: (taken.append([r.text for r in sample.collect()]), real(sample, learn))[1])
+    language.fit(documents(spark, rows), F.lit(False), train_rows=32)
+    language.fit(documents(spark, rows), F.lit(False), train_rows=10)
+    assert len(taken[0]) == len(set(taken[0])) == 32 and len(taken[1]) == len(set(taken[1])) == 10
+
+
 def test_language_without_training_rows(spark):
     docs = documents(spark, [(1, "text", None), (2, None, "aa")])
     model = language.fit(docs, F.lit(False))
