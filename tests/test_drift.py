@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import golden_counts
+from drift_golden import golden_counts
 from riskweave.operators import drift
 from riskweave.operators.ks import exact_pvalue, ks_pvalue_corrected, ks_pvalue_limit
 
