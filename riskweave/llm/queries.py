@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import chat, decontamination, html_text, language, mixing, neighbours, scoring, simhash, substrings, toxicity
-from riskweave.llm.common import read, remainder_of
+from riskweave.llm import chat, decontamination, html_text, language, mixing, neighbours, runs, scoring, simhash, substrings, toxicity
+from riskweave.llm.common import NOT_SPACE, read, remainder_of
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -176,3 +176,45 @@ def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op9_nearest"] = op9_nearest
+
+
+def with_planted_period(docs: DataFrame) -> DataFrame:
+    """doc_id and text; where crc32(doc_id) ends in 0 a tail of the words repeats.
+
+    A null id has no crc32, so its text stays.
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+
+    def planted(words: Column) -> Column:
+        n = F.size(words)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+
+        def word(i: Column) -> Column:
+            at = decontamination.bound(F.struct(a.alias("a"), p.alias("p")), lambda x: F.when(i >= x["a"], x["a"] + (i - x["a"]) % x["p"]).otherwise(i))
+            return F.get(words, at.cast("int"))
+
+        return F.array_join(F.transform(decontamination.positions(n), word), " ")
+
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(NOT_SPACE), F.lit(0))
+    return docs.select("doc_id", F.when(h % 10 == 0, decontamination.bound(words, planted)).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every run of the words of each document, its text without them as digests."""
+    found = runs.find_runs(with_planted_period(read(spark, sf_dir, "documents")))
+    best = runs.strongest(F.col("runs"))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    digests = found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best.alias("best"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+    whole = F.expr("1000 * best.length div best.period").alias("exponent_milli")
+    return digests.select("doc_id", "n_runs", "best.start", "best.length", "best.period", whole, "runs_sha256", "collapsed_sha256")
+
+
+QUERIES["op12_periodic_runs"] = op12_periodic_runs
