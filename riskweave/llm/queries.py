@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import chat, decontamination, html_text, language, mixing, neighbours, runs, scoring, simhash, substrings, toxicity
+from riskweave.llm import chat, decontamination, html_text, language, mixing, neighbours, phrases, runs, scoring, simhash, substrings, topk, toxicity
 from riskweave.llm.common import NOT_SPACE, read, remainder_of
 
 QUERIES: dict = {}
@@ -218,3 +218,57 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op12_periodic_runs"] = op12_periodic_runs
+
+
+def op11_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five rows with the largest integer product for each fiftieth vector."""
+    return topk.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
+QUERIES["op11_topk"] = op11_topk
+ORACLE["op11_topk"] = """
+WITH integers AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+asked AS (SELECT row_number() OVER () AS q, vec_id AS query_id, v FROM integers WHERE vec_id % 50 = 0),
+scored AS (
+  SELECT q, query_id, r.vec_id, list_inner_product(a.v, r.v)::BIGINT AS score
+  FROM asked a JOIN integers r ON len(a.v) = len(r.v) AND r.vec_id IS DISTINCT FROM a.query_id)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, vec_id NULLS LAST)::INT AS rank FROM scored)
+WHERE rank <= 5
+"""
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2 000 best phrases of each language."""
+    return phrases.collocations(read(spark, sf_dir, "documents"))
+
+
+QUERIES["op13_collocations"] = op13_collocations
+ORACLE["op13_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p
+  FROM documents),
+worded AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, k::INT AS k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM worded, unnest([1, 2, 3, 4]) AS t(k), unnest(range(1, len(w) - k + 2)) AS u(i)),
+totals AS (SELECT lang, count(*) AS n FROM grams WHERE k = 1 GROUP BY lang),
+known AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS w, count(*) AS f FROM grams GROUP BY lang, k, phrase HAVING count(*) >= 30),
+cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, j::INT AS j, h.f AS l, t.f AS r, (2000000::HUGEINT * c.f) // (h.f + t.f) AS score
+  FROM known c, unnest(range(1, c.k)) AS u(j)
+  JOIN known h ON h.lang = c.lang AND h.phrase = array_to_string(c.w[1:j], ' ')
+  JOIN known t ON t.lang = c.lang AND t.phrase = array_to_string(c.w[j + 1:c.k], ' ')
+  WHERE c.k > 1),
+weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inner_parts AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(f) AS held
+  FROM known, unnest([2, 3]) AS t(m), unnest(range(1, k - m + 2)) AS u(i) WHERE m < k GROUP BY ALL),
+ranked AS (
+  SELECT w.lang, row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, w.phrase) AS rank, w.phrase, a, l, r, score::BIGINT AS score
+  FROM weakest w LEFT JOIN inner_parts p ON p.lang = w.lang AND p.phrase = w.phrase
+  WHERE p.held IS NULL OR 100::HUGEINT * p.held < 80::HUGEINT * a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
