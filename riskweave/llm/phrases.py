@@ -5,9 +5,8 @@ in its piece (lead columns), padded at the end of the piece. Counts of shorter
 phrases are sums of those of the windows that begin with them, and Spark's
 ROLLUP makes them all at once; no phrase length is exploded by itself.
 
-Windows are counted in batches of about two million words and leave a task as
-one row per bucket: the bucket's own words once, and windows as indices into
-them. All windows that begin with the same two words share a bucket, so totals
+Windows are counted in batches of about two million words and leave a task in
+rows of one bucket each: their words once, and windows as indices into them. All windows that begin with the same two words share a bucket, so totals
 of their prefixes are known there. A window whose tail is too rare to be in any
 phrase (fewer than ``least`` occurrences of the prefix that holds it) is cut
 before it and added to the shorter window. ROLLUP therefore sums few rows, and
@@ -51,7 +50,9 @@ for _separator in b".,;:!?\n\x0b\x0c\r":
 _TABLE = bytes(_TABLE)
 
 COLUMNS = [f"w{i}" for i in range(1, ORDER + 1)]
-MESSAGE = f"lang string, bucket int, words array<string>, {', '.join(f'{c} array<int>' for c in COLUMNS)}, n array<int>"
+#: Windows of one row: they have at most 32 768 different words, so an index is two bytes.
+ROW_WINDOWS = 8000
+MESSAGE = f"lang string, bucket int, words array<string>, {', '.join(f'{c} array<smallint>' for c in COLUMNS)}, n array<int>"
 COUNTED = f"lang string, {', '.join(f'{c} string' for c in COLUMNS)}, n long"
 
 
@@ -100,7 +101,7 @@ def _hot_codes(hot: set, words: dict, size: int) -> tuple[np.ndarray, np.ndarray
 
 
 def _messages(lang: str, windows: _Windows, buckets: int, hot: set) -> pa.RecordBatch | None:
-    """One row per bucket with the windows that belong there."""
+    """Rows of each bucket with the windows that belong there."""
     words, columns, n = windows.counted()
     if not len(n):
         return None
@@ -116,14 +117,17 @@ def _messages(lang: str, windows: _Windows, buckets: int, hot: set) -> pa.Record
     bucket = (mixed(key) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     bucket, n, columns = bucket[order], n[order], [c[order] for c in columns]
-    present, sizes = np.unique(bucket, return_counts=True)
+    place = np.arange(len(bucket)) - np.searchsorted(bucket, bucket)
+    _, first, sizes = np.unique((bucket << 32) + place // ROW_WINDOWS, return_index=True, return_counts=True)
+    present = bucket[first]
     row = np.repeat(np.arange(len(present)), sizes)
     own, index = np.unique(np.concatenate([row * size + c for c in columns]), return_inverse=True)
     starts = np.searchsorted(own, np.arange(len(present) + 1) * size)
     index = index.reshape(ORDER, -1) - starts[row][None, :]
     listed = pa.array([b"", *words[1:]], pa.binary()).cast(pa.string()).take(pa.array(own % size))
     ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
-    numbers = [pa.ListArray.from_arrays(ends, pa.array(x, pa.int32())) for x in (*index, n)]
+    numbers = [pa.ListArray.from_arrays(ends, pa.array(x.astype(np.int16))) for x in index]
+    numbers.append(pa.ListArray.from_arrays(ends, pa.array(n, pa.int32())))
     return pa.RecordBatch.from_arrays(
         [pa.array([lang] * len(present)), pa.array(present, pa.int32()), pa.ListArray.from_arrays(pa.array(starts, pa.int32()), listed), *numbers],
         names=["lang", "bucket", "words", *COLUMNS, "n"],
