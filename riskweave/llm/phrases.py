@@ -6,7 +6,8 @@ phrases are sums of those of the windows that begin with them, and Spark's
 ROLLUP makes them all at once; no phrase length is exploded by itself.
 
 Windows are counted in batches of about two million words and leave a task in
-rows of one bucket each: their words once, and windows as indices into them. All windows that begin with the same two words share a bucket, so totals
+rows of one bucket each: their words once, joined, and windows as indices into
+them. All windows that begin with the same two words share a bucket, so totals
 of their prefixes are known there. A window whose tail is too rare to be in any
 phrase (fewer than ``least`` occurrences of the prefix that holds it) is cut
 before it and added to the shorter window. ROLLUP therefore sums few rows, and
@@ -30,6 +31,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,7 +54,7 @@ _TABLE = bytes(_TABLE)
 COLUMNS = [f"w{i}" for i in range(1, ORDER + 1)]
 #: Windows of one row: they have at most 32 768 different words, so an index is two bytes.
 ROW_WINDOWS = 8000
-MESSAGE = f"lang string, bucket int, words array<string>, {', '.join(f'{c} array<smallint>' for c in COLUMNS)}, n array<int>"
+MESSAGE = f"lang string, bucket int, words string, {', '.join(f'{c} array<smallint>' for c in COLUMNS)}, n array<int>"
 COUNTED = f"lang string, {', '.join(f'{c} string' for c in COLUMNS)}, n long"
 
 
@@ -124,12 +126,13 @@ def _messages(lang: str, windows: _Windows, buckets: int, hot: set) -> pa.Record
     own, index = np.unique(np.concatenate([row * size + c for c in columns]), return_inverse=True)
     starts = np.searchsorted(own, np.arange(len(present) + 1) * size)
     index = index.reshape(ORDER, -1) - starts[row][None, :]
-    listed = pa.array([b"", *words[1:]], pa.binary()).cast(pa.string()).take(pa.array(own % size))
+    texts, own, bounds = [b"", *words[1:]], (own % size).tolist(), starts.tolist()
+    listed = [b" ".join(map(texts.__getitem__, own[a:b])) for a, b in zip(bounds, bounds[1:])]  # no word holds a space
     ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
     numbers = [pa.ListArray.from_arrays(ends, pa.array(x.astype(np.int16))) for x in index]
     numbers.append(pa.ListArray.from_arrays(ends, pa.array(n, pa.int32())))
     return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * len(present)), pa.array(present, pa.int32()), pa.ListArray.from_arrays(pa.array(starts, pa.int32()), listed), *numbers],
+        [pa.array([lang] * len(present)), pa.array(present, pa.int32()), pa.array(listed, pa.binary()).cast(pa.string()), *numbers],
         names=["lang", "bucket", "words", *COLUMNS, "n"],
     )
 
@@ -169,7 +172,7 @@ def _shortened(hot: dict[str, set], least: int):
 
     def cut(table: pa.Table) -> pa.Table:
         lang = table["lang"][0].as_py()
-        lists = table["words"].combine_chunks()
+        lists = pc.split_pattern(table["words"].combine_chunks(), " ")
         words = pa.concat_arrays([lists.flatten(), pa.array([""])]).dictionary_encode()
         base = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)) - lists.value_lengths().to_numpy(zero_copy_only=False)
         counts = table["n"].combine_chunks()
