@@ -24,7 +24,7 @@ from riskweave.functions.labels import (
     drift_message,
     psi_level,
 )
-from riskweave.operators.ks import KS_EXACT_LIMIT, ks_pvalue_corrected, ks_pvalue_exact, ks_pvalue_limit
+from riskweave.operators.ks import KS_EXACT_LIMIT, ks_pvalue_exact, ks_pvalue_finite, ks_pvalue_limit
 from riskweave.operators.ordered import (
     long_numeric,
     long_text,
@@ -241,27 +241,25 @@ def category_report(counts: DataFrame) -> DataFrame:
 def with_ks_pvalue(report: DataFrame, mode: str = "auto") -> DataFrame:
     """Add ``p_value`` and ``p_method`` (the law that gave it) to a numeric report.
 
-    ``limit``: Kolmogorov's series. ``corrected``: the series with a
-    finite-sample correction. ``auto``: the exact two-sample probability when
-    both samples have at most ``KS_EXACT_LIMIT`` rows, else ``corrected``.
+    ``limit``: Kolmogorov's series. ``finite``: the law of one sample of the
+    effective size, at any size. ``auto``: the exact two-sample probability when
+    both samples have at most ``KS_EXACT_LIMIT`` rows, else ``finite``.
     """
-    effective = F.col("n_ref") * F.col("n_cur") / (F.col("n_ref") + F.col("n_cur"))
+    effective = F.try_divide(F.col("n_ref") * F.col("n_cur"), F.col("n_ref") + F.col("n_cur"))
     if mode == "limit":
         return report.withColumn("p_value", ks_pvalue_limit(F.col("ks"), effective)).withColumn("p_method", F.lit("limit"))
-    corrected = ks_pvalue_corrected(F.col("ks"), effective)
-    if mode == "corrected":
-        return report.withColumn("p_value", corrected).withColumn("p_method", F.lit("corrected"))
-    if mode != "auto":
+    if mode not in ("auto", "finite"):
         raise ValueError(f"unknown p-value mode {mode!r}")
-    small = F.greatest("n_ref", "n_cur") <= KS_EXACT_LIMIT
+    small = (F.greatest("n_ref", "n_cur") <= KS_EXACT_LIMIT) if mode == "auto" else F.lit(False)
     # one row per feature: spread the features, then one vectorised call each
     spread = report.repartition("feature")
     exact = ks_pvalue_exact(
         F.when(small, F.col("ks")), F.when(small, F.col("n_ref")), F.when(small, F.col("n_cur"))
     )
-    return spread.withColumn("_exact", exact).withColumn(
-        "p_value", F.when(small, F.col("_exact")).otherwise(corrected)
-    ).withColumn("p_method", F.when(small, "exact").otherwise("corrected")).drop("_exact")
+    finite = ks_pvalue_finite(F.when(~small, F.col("ks")), F.when(~small, effective))
+    return spread.withColumn("_exact", exact).withColumn("_finite", finite).withColumn(
+        "p_value", F.when(small, F.col("_exact")).otherwise(F.col("_finite"))
+    ).withColumn("p_method", F.when(small, "exact").otherwise("finite")).drop("_exact", "_finite")
 
 
 def drift_report(

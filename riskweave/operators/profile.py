@@ -41,6 +41,20 @@ def validate_columns(df: DataFrame, required: Sequence[str]) -> tuple[bool, list
     return not missing, missing
 
 
+def required_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
+    """``(column_name, present, n_rows, n_null)`` of each required column; an
+    absent one counts as null in every row."""
+    nulls = [F.count_if(F.col(c).isNull()) if c in df.columns else F.count(F.lit(1)) for c in required]
+    one = df.agg(F.count(F.lit(1)).alias("_n"), *[n.alias(f"_{i}") for i, n in enumerate(nulls)])
+    entries = F.array(
+        *[
+            F.struct(F.lit(c).alias("column_name"), F.lit(c in df.columns).alias("present"), F.col("_n").alias("n_rows"), F.col(f"_{i}").alias("n_null"))
+            for i, c in enumerate(required)
+        ]
+    )
+    return one.select(F.inline(entries))
+
+
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None, max_ratio: float = 0.5) -> DataFrame:
     columns = list(columns or df.columns)
     one = df.agg(

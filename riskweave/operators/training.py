@@ -7,7 +7,6 @@ Models are named specs; every fitted model ends up as a column expression or a
 
 from __future__ import annotations
 
-import math
 import random
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -23,9 +22,10 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.functions.hashing import hash_mod
-from riskweave.operators import neighbors, quality
+from riskweave.operators import boosting, kernels, neighbors, quality, search
 from riskweave.operators.profile import class_weights
+from riskweave.operators.search import Range
+from riskweave.operators.split import stratified_folds
 from riskweave.session import materialize
 
 VECTOR, LABEL, WEIGHT, FOLD = "features", "label", "weight", "fold"
@@ -51,6 +51,9 @@ class Sizes:
     folds: int = 5
     #: Depth of the plain forest: the most that MLlib allows.
     forest_depth: int = 30
+    kernel_features: int = 512
+    #: Rounds of the second-order models; a level of a tree is a Spark job.
+    newton_rounds: int = 40
 
 
 def assemble(df: DataFrame, key: str, label: str, feature_names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -83,17 +86,31 @@ def plain_specs(n_rows: int, sizes: Sizes = Sizes()) -> dict[str, Estimator]:
         "LogisticRegression": logistic(n_rows, False, sizes.iterations),
         "RandomForest": RandomForestClassifier(numTrees=sizes.trees, maxDepth=sizes.forest_depth, seed=SEED, **_common(False)),
         "GradientBoosting": GBTClassifier(maxIter=sizes.rounds, maxDepth=3, stepSize=0.1, seed=SEED, **_common(False)),
-        "BoostedDeep": GBTClassifier(maxIter=sizes.rounds, maxDepth=sizes.boost_depth + 1, stepSize=0.3, seed=SEED, **_common(False)),
+        "SecondOrderBoosting": second_order(sizes.newton_rounds, sizes.boost_depth + 1, 0.3),
         "LinearSVC": LinearSVC(maxIter=sizes.iterations, **_common(False)),
+        "KernelSVC": kernels.kernel_svc(VECTOR, LABEL, sizes.kernel_features, seed=SEED, maxIter=sizes.iterations, regParam=1.0 / max(n_rows, 1)),
     }
 
 
-def balanced_specs(n_rows: int, sizes: Sizes = Sizes()) -> dict[str, Estimator]:
+def second_order(rounds: int, depth: int, step: float, positive_weight: float = 1.0) -> boosting.SecondOrderBoosting:
+    return boosting.SecondOrderBoosting(
+        featuresCol=VECTOR, labelCol=LABEL, maxIter=rounds, maxDepth=depth, stepSize=step, scalePosWeight=positive_weight, seed=SEED
+    )
+
+
+def positive_weight(train: DataFrame) -> float:
+    """How much more a positive row weighs when both classes weigh the same."""
+    ones, n = train.agg(F.count_if(F.col(LABEL) == 1), F.count(LABEL)).first()
+    return (n - ones) / ones if ones else 1.0
+
+
+def balanced_specs(n_rows: int, sizes: Sizes = Sizes(), weight_of_ones: float = 1.0) -> dict[str, Estimator]:
     """The plain boosted model takes no weights; its name says so."""
     boost = {"maxIter": sizes.balanced_rounds, "maxDepth": sizes.boost_depth, "stepSize": 0.1, "seed": SEED}
     return {
         "GradientBoosting_Unweighted": GBTClassifier(**boost, **_common(False)),
         "GradientBoosting_Balanced": GBTClassifier(**boost, **_common(True)),
+        "SecondOrderBoosting_Balanced": second_order(sizes.newton_rounds, sizes.boost_depth, 0.3, weight_of_ones),
         "RandomForest_Balanced": RandomForestClassifier(
             numTrees=sizes.balanced_trees, maxDepth=sizes.balanced_depth, seed=SEED, **_common(True)
         ),
@@ -127,7 +144,7 @@ def _probability(df: DataFrame) -> Column:
 def add_score(df: DataFrame, model: Model, name: str) -> DataFrame:
     """The model's probability as column ``name``; no other column is added."""
     scored = model.transform(df)
-    made = [c for c in ("rawPrediction", "probability", "prediction") if c in scored.columns]
+    made = [c for c in scored.columns if c not in df.columns]
     return scored.withColumn("_score", _probability(scored)).drop(*made).withColumnRenamed("_score", name)
 
 
@@ -174,7 +191,8 @@ def compare(scores: DataFrame, thresholds: Mapping[str, float] | None = None) ->
 
 
 def with_folds(df: DataFrame, key: str, k: int) -> DataFrame:
-    return df.withColumn(FOLD, hash_mod([key], k))
+    """Add ``fold``: every label is spread over the folds to within one row."""
+    return stratified_folds(df, [key], LABEL, k, exact=True)
 
 
 @dataclass
@@ -200,7 +218,7 @@ def fit_stack(
     """Meta model on out-of-fold scores: a row is never scored by a model that
     saw it. Scores are added as columns, so nothing is shuffled for them. All
     fits, of the folds and of the final models, share one pool."""
-    folded = with_folds(train, key, folds)
+    folded = materialize(with_folds(train, key, folds), "folds")
     inputs = [f"m_{name}" for name in specs]
     sides = {i: folded.filter(F.col(FOLD) != i) for i in range(folds)} | {folds: train}
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
@@ -238,7 +256,7 @@ class Calibrated:
 
 def calibrate(spec: Estimator, train: DataFrame, key: str, folds: int = 3) -> Calibrated:
     """Isotonic calibration on out-of-fold scores."""
-    folded = with_folds(train, key, folds)
+    folded = materialize(with_folds(train, key, folds), "folds")
 
     def fold(i: int) -> tuple[Model, Model]:
         model = spec.copy().fit(folded.filter(F.col(FOLD) != i))
@@ -251,22 +269,73 @@ def calibrate(spec: Estimator, train: DataFrame, key: str, folds: int = 3) -> Ca
     return Calibrated(pairs)
 
 
+#: Ranges of the searched settings.
+BOOSTED_RANGES = {
+    "maxIter": Range(50, 300, whole=True),
+    "maxDepth": Range(2, 10, whole=True),
+    "stepSize": Range(0.01, 0.3, log=True),
+    "subsamplingRate": Range(0.6, 1.0),
+    "featureRate": Range(0.6, 1.0),
+}
+FOREST_RANGES = {
+    "numTrees": Range(50, 300, whole=True),
+    "maxDepth": Range(3, 20, whole=True),
+    "minInstancesPerNode": Range(1, 10, whole=True),
+}
+
+
 def boosted_space(rng: random.Random) -> dict[str, float]:
-    return {
-        "maxIter": rng.randint(50, 300),
-        "maxDepth": rng.randint(2, 10),
-        "stepSize": 10 ** rng.uniform(math.log10(0.01), math.log10(0.3)),
-        "subsamplingRate": rng.uniform(0.6, 1.0),
-        "featureSubsetStrategy": str(round(rng.uniform(0.6, 1.0), 4)),
-    }
+    return search.draw(BOOSTED_RANGES, rng)
 
 
 def forest_space(rng: random.Random) -> dict[str, float]:
-    return {
-        "numTrees": rng.randint(50, 300),
-        "maxDepth": rng.randint(3, 20),
-        "minInstancesPerNode": rng.randint(1, 10),
-    }
+    return search.draw(FOREST_RANGES, rng)
+
+
+def sequential_search(
+    estimator: Estimator,
+    space: search.Space,
+    train: DataFrame,
+    key: str,
+    trials: int = 30,
+    folds: int = 3,
+    seed: int = SEED,
+    parallelism: int = PARALLEL,
+    test: DataFrame | None = None,
+) -> tuple[Model, dict, float, dict[str, float]]:
+    """Best of ``trials`` settings by mean fold F1 of the positive class.
+
+    Settings are proposed from the scores so far, in batches whose fits run
+    together. Returns the model fitted on all rows, its settings, the score and
+    its metrics on ``test`` (threshold 0.5).
+    """
+    folded = materialize(with_folds(train, key, folds), "folds")
+    evaluator = MulticlassClassificationEvaluator(
+        labelCol=LABEL, predictionCol="prediction", metricName="fMeasureByLabel", metricLabel=1.0, beta=1.0
+    )
+
+    def configured(setting: Mapping[str, float]) -> Estimator:
+        return estimator.copy({estimator.getParam(n): v for n, v in setting.items()})
+
+    def score(task: tuple[dict, int]) -> float:
+        setting, i = task
+        model = configured(setting).fit(folded.filter(F.col(FOLD) != i))
+        return evaluator.evaluate(model.transform(folded.filter(F.col(FOLD) == i)))
+
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+
+        def evaluate(settings: list[dict]) -> list[float]:
+            found = list(pool.map(score, [(s, i) for s in settings for i in range(folds)]))
+            return [sum(found[j : j + folds]) / folds for j in range(0, len(found), folds)]
+
+        done = search.search(space, evaluate, trials, seed, max(1, parallelism // folds))
+    setting, best = search.best_of(done)
+    model = configured(setting).fit(train)
+    metrics = {}
+    if test is not None:
+        found = compare(predictions({"tuned": model}, test, key)).first().asDict()
+        metrics = {m: found[m] for m in quality.METRICS}
+    return model, setting, best, metrics
 
 
 def random_search(

@@ -14,9 +14,13 @@ from riskweave.functions.labels import apply_threshold, recommendation_table, ri
 from riskweave.operators.features import Interactions, align_schema
 from riskweave.operators.registry import Registry
 from riskweave.operators.training import VECTOR, add_score
-from riskweave.sources.models import load_package
+from riskweave.sources.models import META_SCHEMA, load_package
 from riskweave.sources.tables import rename
 
+INFO_SCHEMA = (
+    "model_name string, model_version int, threshold double, metrics map<string,double>, run_id string, trained_at string, n_features int"
+)
+
 # fixed values: what an absent answer counts as
 REQUEST_DEFAULTS = {
     "FrequentFlyer": "No",
@@ -87,12 +91,17 @@ def score_champion(df: DataFrame, registry: Registry, name: str, keep: Sequence[
     return score_model(df, model, meta["feature_names"], meta["threshold"], meta["interactions"], keep)
 
 
-def model_info(registry: Registry, name: str) -> dict:
-    """What the champion is: name, version, threshold, metrics, run, training time."""
+def model_info(registry: Registry, name: str) -> DataFrame:
+    """One row that says what the champion is: model, version, threshold,
+    metrics, run, training time and number of features; none without a champion."""
     version = registry.champion(name).first()
-    _, meta = load_package(registry.spark, version["package_path"])
-    wanted = ("model_name", "threshold", "metrics", "run_id", "trained_at")
-    return {k: meta[k] for k in wanted} | {"model_version": version["version"], "n_features": len(meta["feature_names"])}
+    if version is None or version["package_path"] is None:
+        return registry.spark.createDataFrame([], INFO_SCHEMA)
+    meta = registry.spark.read.schema(META_SCHEMA).parquet(f"{version['package_path']}/meta")
+    return meta.select(
+        "model_name", F.lit(version["version"]).alias("model_version"), "threshold", "metrics", "run_id", "trained_at",
+        F.size("feature_names").alias("n_features"),
+    )
 
 
 def with_recommendation(scored: DataFrame, language: str = "en") -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from itertools import combinations_with_replacement
+
 from pyspark.sql import functions as F
 
 from riskweave.functions.encoding import CUSTOMER_CODES, coerce_int, map_encode, safe_ratio
-from riskweave.operators import features, prep
+from riskweave.operators import features, prep, profile
 from riskweave.plans import cleaning, views
 from riskweave.plans.views import NUMERIC, TEXT, with_views
 from riskweave.session import new_path
@@ -168,6 +170,37 @@ def csv_roundtrip(spark, sf):
     return tables.read_csv(spark, path, df.schema)
 
 
+def csv_glob(spark, sf):
+    """Two CSV folders, read as one table by a pattern."""
+    df = views.customer_features(spark, sf)
+    path = new_path(spark, "csv-parts")
+    for flag in ("Yes", "No"):
+        tables.write_csv(df.filter(F.col("frequent") == flag), f"{path}/part-{flag}")
+    return tables.read_csv(spark, f"{path}/part-*", df.schema)
+
+
+def missing_table(spark, sf):
+    """Rows of a journal that is there and of one that is not."""
+    df = views.customer_codes(spark, sf).drop("Target")
+    path = new_path(spark, "journal")
+    tables.append_journal(df, path)
+    schema = ", ".join(f"{n} {t}" for n, t in df.dtypes)
+    found = [(name, tables.read_journal(spark, p, schema)) for name, p in (("present", path), ("missing", f"{path}-none"))]
+    counted = [t.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n_rows"), F.sum("Age").alias("ages")) for name, t in found]
+    return counted[0].unionByName(counted[1])
+
+
+def missing_columns(spark, sf):
+    """Which columns of the contract the customers have, and how filled they are."""
+    return profile.required_columns(views.customer_nulls(spark, sf), [*NUMERIC, "frequent", "gender", "Target"])
+
+
+def poly_powers(spark, sf):
+    """Products of up to three columns, powers included."""
+    df = views.customer_codes(spark, sf).select(KEY, "Age", "AnnualIncomeClass", "ServicesOpted")
+    return features.Interactions(degree=3, interaction_only=False, recipe=()).fit(df, exclude=[KEY]).transform(df)
+
+
 def parquet_roundtrip(spark, sf):
     df = views.customer_features(spark, sf)
     path = new_path(spark, "parquet")
@@ -219,7 +252,8 @@ QUERIES = {
         project_features, align_schema, rename_map, filter_isin, filter_eq, coerce_numeric, string_labels,
         impute_median, impute_mode, clip_iqr, tercile_label, service_utilization, spending_ratio, encode_sorted,
         encode_first_seen, encode_wide, encode_map, encode_unseen, standard_scale, preprocess_fit_apply,
-        prep_roundtrip, etl_generic, etl_churn, csv_roundtrip, parquet_roundtrip, journal_append, base_features,
+        prep_roundtrip, etl_generic, etl_churn, csv_roundtrip, csv_glob, missing_table, missing_columns,
+        parquet_roundtrip, journal_append, base_features, poly_powers,
         poly_interactions, poly_apply, poly_labels,
     )
 }
@@ -365,6 +399,22 @@ ORACLE = {
     )
     + " FROM holed s",
     "csv_roundtrip": _CF + f"SELECT {', '.join(_ALL)}, churn FROM customer_features",
+    "csv_glob": _CF + f"SELECT {', '.join(_ALL)}, churn FROM customer_features",
+    "missing_table": _CC + """SELECT 'present' AS name, count(*) AS n_rows, sum("Age")::BIGINT AS ages FROM customer_codes UNION ALL SELECT 'missing', 0, NULL""",
+    "missing_columns": _CN
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, {'false' if c in ('gender', 'Target') else 'true'} AS present, count(*) AS n_rows, "
+        + ("count(*)" if c in ("gender", "Target") else f"count(*) - count({c})")
+        + " AS n_null FROM customer_nulls"
+        for c in [*NUMERIC, "frequent", "gender", "Target"]
+    ),
+    "poly_powers": _CC
+    + 'SELECT c_custkey, "Age", "AnnualIncomeClass", "ServicesOpted", '
+    + ", ".join(
+        " * ".join(f'"{c}"::DOUBLE' for c in term) + f" AS poly_{i}"
+        for i, term in enumerate(t for d in (2, 3) for t in combinations_with_replacement(("Age", "AnnualIncomeClass", "ServicesOpted"), d))
+    )
+    + " FROM customer_codes",
     "parquet_roundtrip": _CF + f"SELECT {', '.join(_ALL)}, churn FROM customer_features",
     "journal_append": _CC + 'SELECT * EXCLUDE ("Target") FROM customer_codes',
     "base_features": _CC + f"SELECT * REPLACE (round(services_per_age, 6) AS services_per_age) FROM (SELECT *, {_BASE} FROM customer_codes)",

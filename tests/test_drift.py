@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from drift_golden import golden_counts
-from riskweave.operators import drift
-from riskweave.operators.ks import exact_pvalue, ks_pvalue_corrected, ks_pvalue_limit
+from riskweave.operators import drift, ks
+from riskweave.operators.ks import exact_pvalue, finite_pvalue, ks_pvalue_limit
 
 GOLDEN = {  # KS, exact p, limit p, PSI, reference mean, reference deviation
     "Age": (0.0361, 0.9834, 0.9886, 0.0295, 32.0931, 3.3352),
@@ -162,13 +162,54 @@ def test_exact_pvalue_by_enumeration(n, m):
         assert exact_pvalue(d, n, m) == pytest.approx(brute_exact(d, n, m), abs=1e-12)
 
 
-def test_exact_pvalue_of_large_samples_is_near_the_limit(spark):
+def test_exact_pvalue_of_large_samples_is_near_the_other_laws(spark):
     p = exact_pvalue(0.03, 5000, 4000)
-    row = spark.range(1).select(
-        ks_pvalue_limit(F.lit(0.03), F.lit(5000 * 4000 / 9000)).alias("limit"),
-        ks_pvalue_corrected(F.lit(0.03), F.lit(5000 * 4000 / 9000)).alias("corrected"),
-    ).first()
-    assert abs(row["limit"] - p) < 5e-3 and abs(row["corrected"] - p) < 5e-3
+    limit = spark.range(1).select(ks_pvalue_limit(F.lit(0.03), F.lit(5000 * 4000 / 9000))).first()[0]
+    assert abs(limit - p) < 5e-3 and abs(finite_pvalue(0.03, round(5000 * 4000 / 9000)) - p) < 5e-3
+
+
+@pytest.mark.parametrize(
+    "n,d,inside",  # published to all digits
+    [(10, 0.274, 0.6284796154565043), (2000, 0.04, 0.99676943191713676985), (2000, 0.06, 0.99999893956930568118), (16000, 0.016, 0.99945234913828052085)],
+)
+def test_finite_law_has_published_values(n, d, inside):
+    assert 1.0 - finite_pvalue(d, n) == pytest.approx(inside, abs=1e-10)
+
+
+def test_finite_law_by_simulation_of_small_samples_and_closed_forms():
+    rng = np.random.default_rng(5)
+    for n in (3, 7):
+        x = np.sort(rng.random((40_000, n)), axis=1)
+        i = np.arange(n)
+        d = np.maximum(((i + 1) / n - x).max(1), (x - i / n).max(1))
+        for q in (0.2, 0.5, 0.8, 0.95):
+            at = float(np.quantile(d, q))
+            assert finite_pvalue(at, n) == pytest.approx(1 - q, abs=0.01)
+    assert finite_pvalue(0.5, 1) == 1.0 and finite_pvalue(0.75, 1) == pytest.approx(0.5) and finite_pvalue(1.0, 9) == 0.0
+    assert finite_pvalue(0.1, 5) == 1.0
+
+
+def test_branches_of_the_finite_law_meet():
+    for n in (150, 1000, 5000):
+        for x in (0.6, 0.9, 1.2, 1.45):
+            d = x / math.sqrt(n)
+            assert ks._matrix_power(n, d) == pytest.approx(ks._series(n, d), abs=1e-3 / n)
+        d = math.sqrt(2.5 / n)
+        assert 2 * ks._one_sided_tail(n, d) == pytest.approx(1 - ks._matrix_power(n, d), rel=1e-5)
+    n = 1_200_000
+    d = math.sqrt(2.3 / n)
+    assert 2 * ks._one_sided_tail(n, d) == pytest.approx(1 - ks._series(n, d), rel=2e-3)
+    values = [finite_pvalue(x / 1000, 12_345) for x in range(1, 60)]
+    assert all(a >= b for a, b in zip(values, values[1:]))
+
+
+def test_auto_takes_the_finite_law_for_large_samples(spark):
+    rows = [("a", 20_000, 15_000, 0.012), ("b", 40, 30_000, 0.2), ("c", 50, 60, 0.2), ("d", 0, 10, None)]
+    df = spark.createDataFrame(rows, "feature string, n_ref long, n_cur long, ks double")
+    got = {r["feature"]: (r["p_method"], r["p_value"]) for r in drift.with_ks_pvalue(df, "auto").collect()}
+    assert got["a"] == ("finite", pytest.approx(finite_pvalue(0.012, round(20_000 * 15_000 / 35_000))))
+    assert got["b"] == ("finite", pytest.approx(finite_pvalue(0.2, round(40 * 30_000 / 30_040))))
+    assert got["c"] == ("exact", pytest.approx(exact_pvalue(0.2, 50, 60))) and got["d"] == ("exact", None)
 
 
 def test_chi_square_pvalues(spark):

@@ -12,7 +12,7 @@ from riskweave.operators.training import Sizes
 
 #: Quick fits: the tests look at behaviour, not at quality.
 SMALL = Sizes(trees=10, balanced_trees=10, balanced_depth=5, rounds=5, balanced_rounds=5, boost_depth=3,
-              stack_rounds=4, stack_trees=8, iterations=50, folds=3, forest_depth=10)
+              stack_rounds=4, stack_trees=8, iterations=50, folds=3, forest_depth=10, kernel_features=32, newton_rounds=3)
 from riskweave.plans import training_job
 from riskweave.session import materialize
 from riskweave.sources import models as packages
@@ -207,5 +207,5 @@ def test_stack_package_scores_raw_rows(spark, churn, tmp_path):
     for r in scored:
         assert r["probability"] == pytest.approx(direct[r["id"]], abs=1e-9)
         assert r["prediction"] == int(direct[r["id"]] >= 0.3)
-    info = scoring.model_info(store, "churn")
+    info = scoring.model_info(store, "churn").first().asDict()
     assert (info["model_name"], info["model_version"], info["threshold"], info["n_features"]) == ("Stacking", 1, 0.3, len(names))
