@@ -22,3 +22,15 @@ def remainder_of(doc_id: Column, modulus: int) -> Column:
 def lower_ascii(text: Column) -> Column:
     """Lower-cases A-Z only; other letters stay as they are."""
     return F.translate(text, UPPER, UPPER.lower())
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, changed where the table has them already (whatever their case)."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found

@@ -22,7 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import lower_ascii
+from riskweave.llm.common import fresh, lower_ascii
 from riskweave.session import materialize
 
 WINDOW, GRAM = 10, 5
@@ -152,7 +152,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """The rows of ``docs`` without any hit."""
-    hit = contamination(docs, benchmark, window, gram).where("contaminated").select(F.col("doc_id").alias("_doc"), F.col("digest").alias("_digest"))
+    doc, told = fresh(docs, "_doc", "_told")
+    hit = contamination(docs, benchmark, window, gram).where("contaminated").select(F.col("doc_id").alias(doc), F.col("digest").alias(told))
     hit = materialize(hit.distinct(), "contaminated")
     digest = F.xxhash64(F.coalesce("text", F.lit("")))
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_doc")) & (digest == F.col("_digest")), "left_anti")
+    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col(doc)) & (digest == F.col(told)), "left_anti")

@@ -116,7 +116,7 @@ def best_temperature(margins: np.ndarray, y: np.ndarray) -> float:
 
 
 def fit(docs: DataFrame, held_out: Column, train_rows: int = TRAIN_ROWS) -> Model:
-    known = docs.where("lang IS NOT NULL AND text IS NOT NULL").where(~F.coalesce(held_out, F.lit(False)))
+    known = docs.where("lang IS NOT NULL AND text IS NOT NULL").where(~F.coalesce(held_out, F.lit(False))).select("doc_id", "text", "lang")
 
     def frequencies(batches):
         total, n = np.zeros(1 << BITS, dtype=np.int64), 0

@@ -14,7 +14,9 @@ each returns at most ``k`` rows per query.
 
 Defined cases: vectors that are null, empty, zero, of another length than most
 of the sample, or that hold a null or non-finite component take no part, nor do
-rows with a null id; exact repeats of a row count once; ties go to the smaller
+rows with a null id; exact repeats of a row count once; rows that share an id but not the vector are
+queries and candidates of their own (a query's own rows are all with its id);
+ties go to the smaller
 id; with k or fewer candidates all are returned that the searched parts hold,
 and all parts are searched when the table is small enough (``EXHAUSTIVE``); an
 empty table gives an empty result; other columns are ignored.
@@ -191,13 +193,13 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, block_rows: int =
     blocks = F.create_map(*[F.lit(x) for p in range(index["parts"]) for x in (p, -(-max(1, counts.get(p, 1)) // block_rows))])
     stored = placed.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.element_at(blocks, F.col("part"))).cast("int"))
     probes = index["parts"] if sum(counts.values()) <= EXHAUSTIVE * k else index["probes"]
-    asked = rows.where(is_query).mapInArrow(place(probes), schema)
+    asked = rows.where(is_query).mapInArrow(place(probes), schema).withColumn("told", F.xxhash64("embedding"))
     asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.element_at(blocks, F.col("part")) - 1)))
 
     def nearest(queries: pa.Table, own: pa.Table) -> pa.Table:
         if not len(queries) or not len(own):
             none = own["vec_id"].slice(0, 0)
-            return pa.table({"query_id": none, "vec_id": none, "score": pa.array([], pa.float64())})
+            return pa.table({"query_id": none, "told": pa.array([], pa.int64()), "vec_id": none, "score": pa.array([], pa.float64())})
         own = own.sort_by("vec_id")
         b, q = _matrix(own["embedding"], dim), _matrix(queries["embedding"], dim)
         ids, query_ids = own["vec_id"].to_numpy(), queries["vec_id"].to_numpy()
@@ -223,15 +225,16 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, block_rows: int =
             scores.append(exact[kept])
         q_at, b_at = np.concatenate(q_at), np.concatenate(b_at)
         kinds = own["vec_id"].type
-        return pa.table({"query_id": pa.array(query_ids[q_at], kinds), "vec_id": pa.array(ids[b_at], kinds), "score": pa.array(np.concatenate(scores), pa.float64())})
+        told = queries["told"].combine_chunks().take(pa.array(q_at, pa.int64()))
+        return pa.table({"query_id": pa.array(query_ids[q_at], kinds), "told": told, "vec_id": pa.array(ids[b_at], kinds), "score": pa.array(np.concatenate(scores), pa.float64())})
 
     found = (
         asked.groupBy("part", "block")
         .cogroup(stored.groupBy("part", "block"))
-        .applyInArrow(nearest, f"query_id {kind}, vec_id {kind}, score double")
-        .dropDuplicates(["query_id", "vec_id", "score"])
+        .applyInArrow(nearest, f"query_id {kind}, told long, vec_id {kind}, score double")
+        .dropDuplicates(["query_id", "told", "vec_id", "score"])
     )
     # at most k rows per searched block and query
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id", "told").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -28,6 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskweave.llm.common import fresh
 from riskweave.llm.components import components
 from riskweave.session import materialize
 
@@ -224,7 +225,8 @@ def without_near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` that stay: the least id of every component, once."""
     near = near_duplicates(docs, radius)
     stay = near.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest")).alias("row"))
-    stay = materialize(stay.select(F.col("row.doc_id").alias("_doc"), F.col("row.digest").alias("_digest")), "stay")
-    digest = F.xxhash64(F.coalesce("text", F.lit("")))
-    kept = docs.withColumn("_own", digest).join(stay, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_own") == F.col("_digest")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_own"]).drop("_own")
+    doc, own, told = fresh(docs, "_doc", "_own", "_told")
+    stay = materialize(stay.select(F.col("row.doc_id").alias(doc), F.col("row.digest").alias(told)), "stay")
+    kept = docs.withColumn(own, F.xxhash64(F.coalesce("text", F.lit(""))))
+    kept = kept.join(stay, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(own) == F.col(told)), "left_semi")
+    return kept.dropDuplicates(["doc_id", own]).drop(own)

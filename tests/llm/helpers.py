@@ -14,7 +14,8 @@ def documents(spark, rows):
     full = [(*r, *[None] * (4 - len(r))) for r in rows]
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     df = spark.createDataFrame([(i, t, la, s, len(t or "")) for i, t, la, s in full], schema)
-    clash = {c: "x" for c in ("shard", "digest", "fp", "size", "key", "start", "score", "held_out", "bucket", "words", "label", "part", "item_id", "toxic")}
+    clash = {c: "x" for c in ("shard", "digest", "fp", "size", "key", "start", "score", "held_out", "bucket", "words", "label", "part", "item_id", "toxic",
+                             "_doc", "_digest", "_own", "_told", "_lang", "_text", "_Doc_", "component", "hits")}
     from pyspark.sql import functions as F
 
     return df.withColumns({c: F.lit(v) for c, v in clash.items()})

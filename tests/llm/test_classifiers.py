@@ -126,3 +126,35 @@ def test_temperature_and_long_texts():
     long = "abc déf " * 30_000
     assert (language.gram_counts(long) >= language.gram_counts(long[:1000])).all()
     assert language.gram_counts(long).sum() == 3 * len(long) - 3
+
+
+def test_margins_are_the_sum_over_pairs():
+    rng = np.random.default_rng(6)
+    m = toxicity.Machine(np.arange(40, dtype=np.int32), 0.3, rng.normal(size=40), rng.normal(size=(40, 3)))
+    texts = [np.sort(rng.choice(40, n, replace=False)) for n in (0, 1, 2, 7, 0, 25)]
+    want = [0.3 + sum(m.weights[i] for i in t) + sum(m.factors[i] @ m.factors[j] for i in t for j in t if i < j) for t in texts]
+    got = m.margins(np.concatenate(texts).astype(np.int64), np.array([len(t) for t in texts]))
+    assert np.allclose(got, want) and np.allclose([m.margin(t.astype(np.int64)) for t in texts], want)
+
+
+def test_best_cut_against_brute_force():
+    rng = np.random.default_rng(8)
+    for _ in range(50):
+        y = (rng.random(40) < 0.3).astype(float)
+        m = np.round(rng.normal(size=40) + y, 1)
+        cut = toxicity.best_cut(m, y)
+        def f1(t):
+            return 2 * (y * (m >= t)).sum() / max(1e-9, (m >= t).sum() + y.sum())
+        assert f1(cut) >= max(f1(t) for t in np.unique(m)) - 1e-12 or not y.sum()
+    assert toxicity.best_cut(np.array([1.0, 2.0]), np.zeros(2)) == 0.0
+
+
+def test_toxicity_sample_is_bounded_in_rows(spark, monkeypatch):
+    """Copies of a labelled id, and its other texts, neither exceed the bound nor come twice."""
+    rows = [(1, "same text")] * 500 + [(2, f"text {i}") for i in range(200)] + [(i, f"w{i}") for i in range(10, 40)]
+    taken = []
+    real = toxicity.fit_in_task
+    monkeypatch.setattr(toxicity, "fit_in_task", lambda sample, learn: (taken.append([r.key for r in sample.collect()]), real(sample, learn))[1])
+    labels = spark.createDataFrame([(r[0], r[0] % 2) for r in rows], "doc_id long, toxic int")
+    toxicity.fit(documents(spark, rows), labels, F.lit(False), train_rows=25)
+    assert len(taken[0]) == len(set(taken[0])) <= 25

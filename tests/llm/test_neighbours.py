@@ -64,3 +64,9 @@ def test_parts_are_balanced_and_cut_few_edges():
     assert sizes.max() <= np.ceil(100 * 1.1) + 1 and sizes.min() >= 89
     chance = rng.permutation(label)
     assert (label[graph] == label[:, None]).mean() > 2 * (chance[graph] == chance[:, None]).mean()
+
+
+def test_repeated_ids_with_other_vectors_are_queries_of_their_own(spark):
+    rows = [(20, [1.0, 0.0]), (20, [0.0, 1.0]), (20, [1.0, 0.0]), (1, [2.0, 1.0]), (2, [1.0, 3.0])]
+    got = sorted((r["rank"], r.vec_id, r.score) for r in nn.search(table(spark, rows), F.col("vec_id") % 20 == 0).collect())
+    assert got == [(1, 1, 2.0), (1, 2, 3.0), (2, 1, 1.0), (2, 2, 1.0)]
