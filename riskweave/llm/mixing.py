@@ -108,8 +108,10 @@ def mix(
     block_words: int = BLOCK_WORDS,
     shard_words: int = SHARD_WORDS,
     seed: int = SEED,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """doc_id, size, source_size, target, taken (words, repeats counted), source.
+    """doc_id, size, source_size, target, taken (words, repeats counted), source,
+    and the columns ``keep`` of ``docs`` (the text, say) that come along.
 
     ``docs`` needs doc_id, text and source. Sizes are counted once and written
     to the shared folder. A source is split into key ranges of bounded size, whose
@@ -122,6 +124,7 @@ def mix(
             "source",
             F.regexp_count(F.coalesce("text", F.lit("")), F.lit(NOT_SPACE)).cast("long").alias("size"),
             F.md5(F.concat(F.lit(f"{seed}-"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("key"),
+            *[F.col(c).alias(f"kept_{c}") for c in keep],
         ),
         "mix-sizes",
     )
@@ -160,4 +163,5 @@ def mix(
     out = streamed.join(cell, F.col("source").eqNullSafe(F.col("_source")) & (F.col("shard") == F.col("_shard")))
     left = F.col("rest_blocks") * block_words - F.col("offset") - F.col("start")
     part = F.greatest(F.lit(0), F.least(F.col("size"), left))
-    return out.select("doc_id", "size", "source_size", "target", (F.col("repeats") * F.col("size") + part).cast("long").alias("taken"), "source")
+    taken = (F.col("repeats") * F.col("size") + part).cast("long").alias("taken")
+    return out.select("doc_id", "size", "source_size", "target", taken, "source", *[F.col(f"kept_{c}").alias(c) for c in keep])

@@ -51,7 +51,9 @@ def test_no_benchmark_window_is_left(spark, sf, stages):
 def test_mix_takes_about_its_target(stages):
     sizes = {r.doc_id: len(re.findall(r"[^\x20\x09-\x0D]+", r.text)) for r in stages["decontamination"].collect()}
     taken, target = {}, {}
+    texts = {r.doc_id: r.text for r in stages["decontamination"].collect()}
     for r in stages["mixing"].collect():
+        assert r.text == texts[r.doc_id]
         assert 0 < r.taken <= 3 * r.size == 3 * sizes[r.doc_id]
         taken[r.source] = taken.get(r.source, 0) + r.taken
         target[r.source] = r.target
@@ -64,4 +66,16 @@ def test_registered_queries():
 
     names = set(__spark_entry__.queries())
     assert {"pipeline", *queries.QUERIES} <= names and set(queries.ORACLE) <= set(queries.QUERIES)
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 14))
+
+
+def test_run_leaves_only_its_result_in_the_shared_folder(spark, sf):
+    import os
+
+    from riskweave.session import shared_dir
+
+    folder = shared_dir(spark).removeprefix("file://").removeprefix("file:")
+    before = set(os.listdir(folder))
+    result = corpus_pipeline.run(spark, sf)
+    left = set(os.listdir(folder)) - before
+    assert len(left) == 1 and left.pop().startswith("mixing-") and result.count() > 0
