@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from riskweave.llm import decontamination, mixing, simhash, substrings, toxicity
 from riskweave.llm.common import read, remainder_of
-from riskweave.session import new_path
+from riskweave.session import clean_up, new_path, paths_made
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -39,8 +39,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The words each document gives to the mix; documents that give none go."""
-    return mixing.mix(docs).where("taken > 0")
+    """The documents of the mix with their texts and the number of words that
+    each gives (its first ones, where it is less than all); others go."""
+    return mixing.mix(docs, keep=("text", "lang")).where("taken > 0")
 
 
 STAGES = [
@@ -55,10 +56,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order over ``documents``."""
-    docs = read(spark, sf_dir, "documents")
+    """All stages in order over ``documents``; only the last table stays in the shared folder."""
+    docs, made, path = read(spark, sf_dir, "documents"), paths_made(), ""
     for name, stage in STAGES:
         path = new_path(spark, name)
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        clean_up(spark, made, (path,))
     return docs

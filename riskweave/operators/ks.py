@@ -83,10 +83,11 @@ def _matrix_power(n: int, distance: float) -> float:
     log_factorial = np.array([math.lgamma(x + 1) for x in range(m + 1)])
     matrix = np.where(steps < 0, 0.0, np.exp(-log_factorial[np.maximum(steps, 0)]))
     powers = np.array([h**x for x in range(1, m + 1)])
-    matrix[:, 0] -= powers / np.exp(log_factorial[1 : m + 1])
-    matrix[-1, :] -= powers[::-1] / np.exp(log_factorial[1 : m + 1][::-1])
+    terms = powers * np.exp(-log_factorial[1 : m + 1])
+    matrix[:, 0] -= terms
+    matrix[-1, :] -= terms[::-1]
     if 2 * h > 1:
-        matrix[-1, 0] += (2 * h - 1) ** m / math.exp(log_factorial[m])
+        matrix[-1, 0] += (2 * h - 1) ** m * math.exp(-log_factorial[m])
     result, shift, factor, factor_shift, left = np.eye(m), 0, matrix, 0, n
     while left:
         if left & 1:

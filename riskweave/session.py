@@ -56,17 +56,25 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def clean_up(spark: SparkSession) -> int:
-    """Remove what this process wrote below the shared folder.
+def paths_made() -> int:
+    """How many paths this process has made and not removed; for :func:`clean_up`."""
+    return len(_made)
+
+
+def clean_up(spark: SparkSession, since: int = 0, keep: tuple[str, ...] = ()) -> int:
+    """Remove what this process wrote below the shared folder, from the path
+    number ``since`` on and without those in ``keep``.
 
     For the end of a job: tables that are still to be computed may read from
     there. Paths are deleted through Spark's file system, wherever they are.
     """
     removed = 0
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    while _made:
-        path = hadoop.Path(_made.pop())
-        removed += bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))
+    gone = [p for p in _made[since:] if p not in keep]
+    for path in gone:
+        place = hadoop.Path(path)
+        removed += bool(place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True))
+        _made.remove(path)
     return removed
 
 
