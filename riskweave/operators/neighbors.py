@@ -1,13 +1,16 @@
-"""Exact k nearest neighbours by cells around centres.
+"""Exact k nearest neighbours by a two-level tree of cells around centres.
 
-A bounded sample of training vectors serves as centres; every training vector
-belongs to the cell of its nearest centre, and a cell has a radius. A query
-first searches its nearest cells until they hold ``k`` rows, which bounds its
+A sample of training vectors serves as centres, one for every ``CELL_ROWS`` rows;
+about the root of their number are top centres, and every other centre belongs
+to its nearest top centre. A training vector goes to the cell of the nearest
+centre under its nearest top centre; cells and top centres have a radius. A
+query first searches near cells until they hold ``k`` rows, which bounds its
 k-th distance; then only cells whose lower bound (distance to the centre less
-the radius) does not exceed it. The triangle inequality makes that exact, and
-the work follows the cells that remain instead of queries times rows. Cells are
-cut into blocks of bounded size; every pair of a query group and a block yields
-at most ``k`` rows per query.
+the radius) does not exceed it, and whole top centres are passed over by theirs.
+The triangle inequality makes that exact wherever a vector was put, and the work
+follows the cells that remain instead of queries times rows. Cells are cut into
+blocks of bounded size; every pair of a query group and a block yields at most
+``k`` rows per query.
 """
 
 from __future__ import annotations
@@ -19,7 +22,8 @@ from pyspark.sql import functions as F
 
 from riskweave.session import materialize
 
-BLOCK_ROWS, CENTRES, CELL_ROWS = 2_048, 256, 2_048
+#: The centres go to every task, so their number is bounded.
+BLOCK_ROWS, CENTRES, CELL_ROWS = 2_048, 16_384, 2_048
 
 
 def _nearest_in_block(query: np.ndarray, train: np.ndarray, k: int, same: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -43,42 +47,82 @@ def _centre_distances(vectors: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(square, 0.0))
 
 
+class Tree:
+    """Centres under top centres; cells have sizes and radii once rows are placed."""
+
+    def __init__(self, centres: np.ndarray):
+        """The first of ``centres`` are the top ones: they come in the order of a hash."""
+        self.centres = centres
+        self.tops = centres[: max(1, round(len(centres) ** 0.5))] if len(centres) else centres
+        top = _centre_distances(centres, self.tops).argmin(1) if len(centres) else np.zeros(0, np.int64)
+        self.members = [np.flatnonzero(top == t) for t in range(len(self.tops))]
+
+    def place(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Cell of each vector and its distance from the centre."""
+        top = _centre_distances(x, self.tops).argmin(1)
+        cell, away = np.zeros(len(x), dtype=np.int64), np.zeros(len(x))
+        for t in np.unique(top):
+            own = np.flatnonzero(top == t)
+            d = _centre_distances(x[own], self.centres[self.members[t]])
+            near = d.argmin(1)
+            cell[own], away[own] = self.members[t][near], d[np.arange(len(own)), near]
+        return cell, away
+
+    def measured(self, radius: np.ndarray, size: np.ndarray) -> Tree:
+        """Takes the radii and sizes of the cells; empty cells have radius -inf."""
+        self.radius, self.size = radius, size
+        reach = [_centre_distances(self.tops[t : t + 1], self.centres[m])[0] + radius[m] for t, m in enumerate(self.members)]
+        self.reach = np.array([r.max(initial=-np.inf) for r in reach])
+        self.held = np.array([size[m].sum() for m in self.members])
+        return self
+
+    def first(self, x: np.ndarray, k: int) -> list[np.ndarray]:
+        """Per query near cells that hold ``k`` rows together."""
+        out = []
+        for v, d in zip(x, _centre_distances(x, self.tops), strict=True):
+            order = np.argsort(d, kind="stable")
+            enough = int(np.searchsorted(np.cumsum(self.held[order]), k)) + 1
+            cells = np.concatenate([self.members[t] for t in order[:enough]])
+            cells = cells[np.argsort(_centre_distances(v[None], self.centres[cells])[0], kind="stable")]
+            out.append(cells[: int(np.searchsorted(np.cumsum(self.size[cells]), k)) + 1])
+        return out
+
+    def within(self, x: np.ndarray, bound: np.ndarray) -> list[np.ndarray]:
+        """Per query the cells that may hold a row as near as ``bound``."""
+        top = _centre_distances(x, self.tops)
+        slack = 1e-9 * (1.0 + np.abs(top).max(initial=0.0) + np.abs(self.reach[np.isfinite(self.reach)]).max(initial=0.0))
+        found: list[list[np.ndarray]] = [[] for _ in x]
+        for t, members in enumerate(self.members):
+            asked = np.flatnonzero(top[:, t] - self.reach[t] <= bound + slack)
+            if not len(asked) or not self.held[t]:
+                continue
+            d = _centre_distances(x[asked], self.centres[members])
+            near = (d - self.radius[members] <= (bound[asked] + slack)[:, None]) & (self.size[members] > 0)
+            for i, row in zip(asked.tolist(), near, strict=True):
+                found[i].append(members[row])
+        return [np.sort(np.concatenate(f)) if f else np.zeros(0, np.int64) for f in found]
+
+
 class Cells:
-    """Centres, radii and sizes of the cells of a training table."""
+    """The rows of a training table in the cells of a tree."""
 
     def __init__(self, rows: DataFrame, vector: str, most: int, block_rows: int):
         """``rows`` gets the columns ``cell`` and ``block``."""
         chosen = rows.select(vector, F.xxhash64(vector).alias("_h")).distinct().orderBy("_h").limit(most).collect()
-        self.centres = np.array([r[vector] for r in chosen], dtype=np.float64)
-        centres = self.centres
+        tree = self.tree = Tree(np.array([r[vector] for r in chosen], dtype=np.float64))
 
         def assign(batches):
             for b in batches:
-                d = _centre_distances(np.stack(b[vector].to_list()), centres)
-                near = d.argmin(1)
-                yield b.assign(cell=near.astype(np.int32), away=d[np.arange(len(b)), near])
+                cell, away = tree.place(np.stack(b[vector].to_list()))
+                yield b.assign(cell=cell.astype(np.int32), away=away)
 
         schema = ", ".join(f"{c} {t}" for c, t in rows.dtypes) + ", cell int, away double"
         self.rows = materialize(rows.mapInPandas(assign, schema), "cells")
         # one row per centre
         found = {r["cell"]: r for r in self.rows.groupBy("cell").agg(F.max("away").alias("r"), F.count(F.lit(1)).alias("n")).collect()}
-        self.radius = np.array([found[c]["r"] if c in found else -np.inf for c in range(len(centres))])
-        self.size = np.array([found[c]["n"] if c in found else 0 for c in range(len(centres))])
-        self.blocks = np.maximum(1, -(-self.size // block_rows)).astype(int)
-
-    def __getstate__(self) -> dict:
-        return {name: value for name, value in vars(self).items() if name != "rows"}  # tables stay on the driver
-
-    def first(self, d: np.ndarray, k: int) -> list[np.ndarray]:
-        """Per query its nearest cells that hold ``k`` rows together."""
-        order = np.argsort(d, axis=1, kind="stable")
-        held = np.cumsum(self.size[order], axis=1)
-        return [o[: int(np.searchsorted(h, k)) + 1] for o, h in zip(order, held, strict=True)]
-
-    def within(self, d: np.ndarray, bound: np.ndarray) -> list[np.ndarray]:
-        """Per query the cells that may hold a row as near as ``bound``."""
-        slack = 1e-9 * (1.0 + np.abs(d).max(initial=0.0))
-        return [np.flatnonzero((x - self.radius <= b + slack) & (self.size > 0)) for x, b in zip(d, bound, strict=True)]
+        cells = range(len(tree.centres))
+        tree.measured(np.array([found[c]["r"] if c in found else -np.inf for c in cells]), np.array([found[c]["n"] if c in found else 0 for c in cells]))
+        self.blocks = np.maximum(1, -(-tree.size // block_rows)).astype(int)
 
 
 def nearest(
@@ -108,10 +152,12 @@ def nearest(
     kind, query_kind = dict(t.dtypes), dict(q.dtypes)["q_key"]
     columns = ["q_key", "t_key", "d2", *(["t_payload"] if extra else [])]
     schema = f"q_key {query_kind}, t_key {kind['t_key']}, d2 double" + (f", t_payload {kind['t_payload']}" if extra else "")
-    count = F.create_map(*[F.lit(int(x)) for c, n in enumerate(cells.blocks) for x in (c, n)]) if len(cells.blocks) else None
-    if count is None:
+    if not len(cells.blocks):
         return _ranked(q.sparkSession.createDataFrame([], schema), k, extra)
-    blocks = F.element_at(count, F.col("cell"))
+    # cells of more than one block are few: the others need no entry
+    split = {c: int(n) for c, n in enumerate(cells.blocks) if n > 1}
+    count = F.create_map(*[F.lit(x) for entry in split.items() for x in entry]) if split else None
+    blocks = F.coalesce(F.try_element_at(count, F.col("cell")), F.lit(1)) if split else F.lit(1)
     stored = cells.rows.drop("away").withColumn("block", F.pmod(F.xxhash64("t_key"), blocks).cast("int"))
     need = k + int(exclude_same_key)
 
@@ -131,11 +177,12 @@ def nearest(
             parts.append(out.sort_values(["q_key", "d2", "t_key"]).groupby("q_key", sort=False).head(k)[columns])
         return pd.concat(parts)
 
+    tree = cells.tree
+
     def send(choose):
         def local(batches):
             for b in batches:
-                d = _centre_distances(np.stack(b["q_vec"].to_list()), cells.centres)
-                chosen = choose(b, d)
+                chosen = choose(b, np.stack(b["q_vec"].to_list()))
                 at = np.repeat(np.arange(len(b)), [len(c) for c in chosen])
                 yield b[["q_key", "q_vec"]].iloc[at].assign(cell=np.concatenate(chosen).astype(np.int32) if len(at) else np.zeros(0, np.int32))
 
@@ -146,16 +193,16 @@ def nearest(
         return spread.groupBy("cell", "block").cogroup(stored.groupBy("cell", "block")).applyInPandas(best_of_pair, schema)
 
     sent = f"q_key {query_kind}, q_vec array<double>, cell int"
-    near = search(q.mapInPandas(send(lambda b, d: cells.first(d, need)), sent))
-    if len(cells.centres) == 1:
+    near = search(q.mapInPandas(send(lambda b, x: tree.first(x, need)), sent))
+    if len(tree.centres) == 1:
         return _ranked(near, k, extra)
     near = materialize(near, "near")
     rank = F.row_number().over(Window.partitionBy("q_key").orderBy("d2", "t_key"))
     bound = near.withColumn("rank", rank).filter(F.col("rank") == k).select("q_key", F.sqrt("d2").alias("bound"))
 
-    def rest(b: pd.DataFrame, d: np.ndarray) -> list[np.ndarray]:
-        seen = cells.first(d, need)
-        wide = cells.within(d, b["bound"].to_numpy())
+    def rest(b: pd.DataFrame, x: np.ndarray) -> list[np.ndarray]:
+        seen = tree.first(x, need)
+        wide = tree.within(x, b["bound"].to_numpy())
         return [np.setdiff1d(w, s, assume_unique=True) for w, s in zip(wide, seen, strict=True)]
 
     bounded = q.join(bound, "q_key", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))

@@ -86,15 +86,19 @@ def sample_n(df: DataFrame, key: Sequence[str], n: int, seed: str = "") -> DataF
 
 
 def sample_with_replacement(df: DataFrame, key: Sequence[str], n: int, seed: str = "") -> DataFrame:
-    """``n`` draws with replacement; a drawn row appears once per draw."""
+    """``n`` draws with replacement; a drawn row appears once per draw.
+
+    ``key`` has to identify a row. Only digests are put into order; the rows
+    themselves are joined by digest to the at most ``n`` that are drawn.
+    """
     spark = df.sparkSession
-    digest_table = df.select("*", key_digest(key, seed).alias("_d"))
-    coded = dense_codes(digest_table, [], "_d")
+    coded = dense_codes(df.select(key_digest(key, seed).alias("_d")), [], "_d")
     rows = df.agg(F.count(F.lit(1))).scalar()
     drawn = digest_number(key_digest([F.concat(F.lit("draw"), F.col("id").cast("string"))], seed), 12)
     draws = spark.range(n).groupBy(F.pmod(drawn, rows).alias("code")).agg(F.count(F.lit(1)).alias("_times"))
-    repeated = coded.join(draws, "code").withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times"))))
-    return repeated.select(*df.columns)
+    chosen = coded.join(draws, "code").select(F.col("_d").alias("_drawn"), "_times")
+    repeated = df.join(chosen, key_digest(key, seed) == F.col("_drawn"))
+    return repeated.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times")))).select(*df.columns)
 
 
 def sample_stratified(df: DataFrame, key: Sequence[str], stratum: str, fractions: dict, seed: str = "") -> DataFrame:

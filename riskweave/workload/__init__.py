@@ -12,7 +12,7 @@ import riskweave
 # installed copy of this package.
 cloudpickle.register_pickle_by_value(riskweave)
 
-AREAS = ("drift", "profiling", "preparing", "splitting", "quality", "serving", "streams", "models", "learning")
+AREAS = ("drift", "profiling", "preparing", "splitting", "quality", "serving", "streams", "models", "learning", "comparing")
 
 
 def _merged(attribute: str) -> dict:

@@ -157,11 +157,10 @@ def test_cells_leave_most_pairs_out(spark):
     centre = rng.normal(size=(40, 4)) * 20
     x = centre[rng.integers(0, 40, 2000)] + rng.normal(size=(2000, 4))
     df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "id int, v array<double>, y int")
-    cells = neighbors.Cells(df.select("v"), "v", 64, 2048)
-    d = neighbors._centre_distances(x, cells.centres)
+    tree = neighbors.Cells(df.select("v"), "v", 64, 2048).tree
     exact = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(2))
     kth = np.sort(exact, axis=1)[:, 5]
-    visited = sum(cells.size[w].sum() for w in cells.within(d, kth))
+    visited = sum(tree.size[w].sum() for w in tree.within(x, kth))
     assert visited < 0.25 * 2000 * 2000
     got = neighbors.nearest(df, df.filter("id < 50"), "id", "v", 5, "y", exclude_same_key=True, centres=64, cell_rows=30)
     found = {(r["query_key"], r["rank"]): r["distance"] for r in got.collect()}
@@ -170,6 +169,32 @@ def test_cells_leave_most_pairs_out(spark):
     assert neighbors.nearest(df.limit(0), df, "id", "v").count() == 0
 
 
+def test_pairs_grow_less_than_quadratically():
+    """Ten times the rows of the same clusters: nowhere near a hundred times the pairs, and no near row is lost."""
+    rng = np.random.default_rng(6)
+    centre = rng.normal(size=(300, 6)) * 15
+    looked = []
+    for n in (2_000, 20_000):
+        x = centre[rng.integers(0, 300, n)] + rng.normal(size=(n, 6))
+        tree = neighbors.Tree(x[rng.permutation(n)[: n // 32]])
+        cell, away = tree.place(x)
+        size = np.bincount(cell, minlength=len(tree.centres))
+        radius = np.full(len(tree.centres), -np.inf)
+        np.maximum.at(radius, cell, away)
+        tree.measured(radius, size)
+        asked = x[:: 10]
+        d = np.sqrt(np.maximum(0.0, ((asked**2).sum(1)[:, None] + (x**2).sum(1)[None] - 2 * asked @ x.T)))
+        kth = np.partition(d, 5, axis=1)[:, 5]
+        wide = tree.within(asked, kth)
+        for i in range(0, len(asked), 37):
+            assert set(cell[d[i] <= kth[i]].tolist()) <= set(wide[i].tolist())
+            first = tree.first(asked[i : i + 1], 6)[0]
+            assert size[first].sum() >= 6
+        looked.append(sum(int(size[w].sum()) for w in wide))
+    assert looked[1] < 40 * looked[0]
+    assert looked[1] < 0.05 * 2_000 * 20_000
+
+
 def test_majority_prefers_the_smaller_label(spark):
     df = spark.createDataFrame([(1, 3), (1, 2), (1, 2), (1, 3)], "query_key int, y int")
     assert neighbors.classify(df, "y").first()["predicted"] == 2
