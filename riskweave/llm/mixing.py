@@ -1,11 +1,17 @@
 """Mixing sources to target weights by Sainte-Lague apportionment.
 
 Targets are words per source; they are apportioned as equal blocks of words to
-the sources by highest quotients. The documents of a source stand in an order
-given by a seed, the stream of their words is cut into blocks, and the first
-ones up to the quota are taken (a source that must be repeated is first taken
-whole). A large source is cut into shards that follow each other in this order,
-so the result does not depend on their number.
+the sources by highest quotients. A source is cut into shards of about
+``SHARD_WORDS`` words by a hash of its documents, and its blocks are apportioned
+to its shards the same way, by their words: each shard gets an integer quota.
+Within a shard the documents stand in an order given by the seed, the stream of
+their words is cut into blocks, and as many blocks as the quota says are taken,
+those that a seeded hash puts first (a shard that must be repeated is first
+taken whole as often as it fits).
+
+Shards depend on the size of the source and ``shard_words`` alone, not on the
+cluster, so reruns agree. The order and the shard of a document come from its id
+and its text: one id that many documents share fills no shard.
 
 Defined cases: a null text has size 0; a document of size 0 is taken 0 times; a
 source without words gets target 0; a null source is a source of its own, last
@@ -93,9 +99,11 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
     return t.select("source", "source_size", F.when(F.col("full"), F.col("limit")).otherwise(level).alias("target"))
 
 
-def _quotas(group: list[str], votes: str, seats: str, schema: str, df: DataFrame) -> DataFrame:
+def _quotas(group: list[str], votes: str, seats: str, schema: str, df: DataFrame, order: str = "source") -> DataFrame:
+    """Blocks for the rows of each group (sources, or shards of one source)."""
+
     def award(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("source", na_position="last", kind="stable")
+        part = part.sort_values(order, na_position="last", kind="stable")
         return part.assign(blocks=sainte_lague(part[votes].to_numpy(), int(part[seats].iloc[0])))[[x.split()[0] for x in schema.split(", ")]]
 
     return df.groupBy(*group).applyInPandas(award, schema)
@@ -114,16 +122,14 @@ def mix(
     and the columns ``keep`` of ``docs`` (the text, say) that come along.
 
     ``docs`` needs doc_id, text and source. Sizes are counted once and written
-    to the shared folder. A source is split into key ranges of bounded size, whose
-    totals give the running sum its offsets, so a hot source is as parallel as
-    its share of the words.
+    to the shared folder; from there on only sizes and keys are shuffled.
     """
     sized = materialize(
         docs.select(
             "doc_id",
             "source",
             F.regexp_count(F.coalesce("text", F.lit("")), F.lit(NOT_SPACE)).cast("long").alias("size"),
-            F.md5(F.concat(F.lit(f"{seed}-"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("key"),
+            F.md5(F.concat_ws("-", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.coalesce("text", F.lit(""))))).alias("key"),
             *[F.col(c).alias(f"kept_{c}") for c in keep],
         ),
         "mix-sizes",
@@ -137,31 +143,36 @@ def mix(
         "source string, source_size long, target double, blocks long",
         targets.withColumns({"seats": seats.cast("long"), "one": F.lit(1)}),
     )
-    words = F.least(F.col("blocks") * block_words, F.col("source_size") * most)
-    repeats = F.when(F.col("source_size") > 0, F.floor(words / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     plan = materialize(
-        quotas.select(
-            "source",
-            "source_size",
-            "target",
-            repeats.alias("repeats"),
-            F.floor((words - repeats * F.col("source_size")) / block_words + F.lit(0.5)).cast("long").alias("rest_blocks"),
-            F.greatest(F.ceil(F.col("source_size") / shard_words), F.lit(1)).cast("long").alias("shards"),
-        ),
+        quotas.select("source", "source_size", "target", "blocks", F.greatest(F.ceil(F.col("source_size") / shard_words), F.lit(1)).cast("long").alias("shards")),
         "mix-sources",
     )
-    parts = plan.withColumnRenamed("source", "_source")
-    placed = sized.join(parts, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    placed = sized.join(plan.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     # ranges of the key: it is a hash, so they are about equal
     placed = placed.withColumn("shard", F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * F.col("shards") / F.lit(float(1 << 32))))
-    earlier = Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    words_of = placed.groupBy("source", "shard").agg(F.sum("size").alias("words"))  # one row per shard
-    cell = materialize(words_of.withColumn("offset", F.coalesce(F.sum("words").over(earlier), F.lit(0))), "mix-offsets")
-    cell = cell.select(F.col("source").alias("_source"), F.col("shard").alias("_shard"), "offset")
-    order = Window.partitionBy("source", "shard").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    streamed = placed.withColumn("start", F.coalesce(F.sum("size").over(order), F.lit(0)))
-    out = streamed.join(cell, F.col("source").eqNullSafe(F.col("_source")) & (F.col("shard") == F.col("_shard")))
-    left = F.col("rest_blocks") * block_words - F.col("offset") - F.col("start")
-    part = F.greatest(F.lit(0), F.least(F.col("size"), left))
-    taken = (F.col("repeats") * F.col("size") + part).cast("long").alias("taken")
+    # one row per shard from here to the blocks that are taken
+    shards = placed.groupBy("source", "shard", "blocks").agg(F.sum("size").alias("words"))
+    shards = _quotas(["source"], "words", "blocks", "source string, shard long, words long, blocks long", shards, "shard")
+    words = F.least(F.col("blocks") * block_words, F.col("words") * most)
+    repeats = F.when(F.col("words") > 0, F.floor(words / F.col("words"))).otherwise(F.lit(0)).cast("long")
+    shards = shards.withColumns({"repeats": repeats, "rest": F.floor((words - repeats * F.col("words")) / block_words + F.lit(0.5)).cast("long")})
+    shards = materialize(shards.select(F.col("source").alias("_source"), F.col("shard").alias("_shard"), "words", "repeats", "rest"), "mix-shards")
+    number = F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("words") / block_words) - 1, F.lit(0))).cast("array<bigint>"))
+    drawn = F.md5(F.concat_ws("-", F.lit(str(seed)), F.coalesce("_source", F.lit("")), F.col("_shard"), F.col("_block")))
+    order = Window.partitionBy("_source", "_shard").orderBy(drawn, "_block")  # the blocks of one shard
+    chosen = shards.where("rest > 0").select("_source", "_shard", "rest", number.alias("_block"))
+    chosen = chosen.withColumn("place", F.row_number().over(order)).where("place <= rest").select("_source", "_shard", "_block")
+    before = Window.partitionBy("source", "shard").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    streamed = placed.withColumn("start", F.coalesce(F.sum("size").over(before), F.lit(0)))
+    here = F.col("source").eqNullSafe(F.col("_source")) & (F.col("shard") == F.col("_shard"))
+    # the words of a document in each block that is taken; with words in it, its start is its own
+    cut = streamed.where("size > 0").select(
+        "source", "shard", "start", "size", F.explode(F.sequence(F.expr(f"start div {block_words}"), F.expr(f"(start + size - 1) div {block_words}"))).alias("block")
+    )
+    inside = F.least((F.col("block") + 1) * block_words, F.col("start") + F.col("size")) - F.greatest(F.col("block") * block_words, F.col("start"))
+    given = cut.join(chosen, here & (F.col("block") == F.col("_block"))).groupBy("source", "shard", "start").agg(F.sum(inside).alias("part"))
+    given = given.select(F.col("source").alias("_of"), F.col("shard").alias("_in"), F.col("start").alias("_at"), "part")
+    own = F.col("source").eqNullSafe(F.col("_of")) & (F.col("shard") == F.col("_in")) & (F.col("start") == F.col("_at")) & (F.col("size") > 0)
+    out = streamed.join(given, own, "left").join(shards.select("_source", "_shard", "repeats"), here)
+    taken = (F.col("repeats") * F.col("size") + F.coalesce("part", F.lit(0))).cast("long").alias("taken")
     return out.select("doc_id", "size", "source_size", "target", taken, "source", *[F.col(f"kept_{c}").alias(c) for c in keep])

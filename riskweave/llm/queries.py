@@ -61,11 +61,11 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op2_mix_sources"] = op2_mix_sources
-#: The mix as SQL over any relation with doc_id, text, source.
+#: The mix as SQL over any relation with doc_id, text, source, and for any size of shards.
 MIX_SQL = r"""
 sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         md5('42-' || coalesce(doc_id::VARCHAR, '')) AS key FROM {docs}),
+         md5('42-' || coalesce(doc_id::VARCHAR, '') || '-' || md5(coalesce(text, ''))) AS key FROM {docs}),
 sources AS (
   SELECT source, sum(size)::BIGINT AS source_size, ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::DOUBLE AS w,
          3.0::DOUBLE * sum(size)::BIGINT AS cap FROM sized GROUP BY source),
@@ -82,17 +82,34 @@ quotients AS (
   SELECT source, target / (2 * j - 1) AS quotient FROM targets, unnest(range(1, (source_size * 3 / 32)::BIGINT + 3)) AS t(j)),
 ranked AS (SELECT source, row_number() OVER (ORDER BY quotient DESC, source NULLS LAST) AS place FROM quotients),
 won AS (SELECT t.source, count(r.place) AS blocks FROM targets t LEFT JOIN ranked r ON r.source IS NOT DISTINCT FROM t.source AND r.place <= (SELECT n FROM seats) GROUP BY t.source),
-parts AS (
-  SELECT t.*, least(blocks * 32, source_size * 3) AS words, CASE WHEN source_size > 0 THEN least(blocks * 32, source_size * 3) // source_size ELSE 0 END AS repeats
-  FROM targets t JOIN won w ON w.source IS NOT DISTINCT FROM t.source),
+placed AS (
+  SELECT s.*, t.source_size, t.target, w.blocks,
+         CAST('0x' || substr(key, 1, 8) AS BIGINT) * greatest(ceil(t.source_size / {shard_words}.0::DOUBLE), 1)::BIGINT // 4294967296 AS shard
+  FROM sized s JOIN targets t ON t.source IS NOT DISTINCT FROM s.source JOIN won w ON w.source IS NOT DISTINCT FROM s.source),
+shards AS (SELECT source, shard, blocks, sum(size)::BIGINT AS words FROM placed GROUP BY ALL),
+shard_quotients AS (SELECT source, shard, blocks, words::DOUBLE / (2 * j - 1) AS quotient FROM shards, unnest(range(1, (words * 3 / 32)::BIGINT + 3)) AS t(j)),
+shard_ranked AS (SELECT source, shard, blocks, row_number() OVER (PARTITION BY source ORDER BY quotient DESC, shard) AS place FROM shard_quotients),
+quotas AS (SELECT source, shard, count(*) AS quota FROM shard_ranked WHERE place <= blocks GROUP BY ALL),
+cells AS (
+  SELECT s.source, s.shard, words, least(coalesce(quota, 0) * 32, words * 3) AS due, CASE WHEN words > 0 THEN least(coalesce(quota, 0) * 32, words * 3) // words ELSE 0 END AS repeats
+  FROM shards s LEFT JOIN quotas q ON q.source IS NOT DISTINCT FROM s.source AND q.shard = s.shard),
+chosen AS (
+  SELECT source, shard, block FROM cells, unnest(range(0, ceil(words / 32.0::DOUBLE)::BIGINT)) AS t(block)
+  QUALIFY row_number() OVER (PARTITION BY source, shard ORDER BY md5('42-' || coalesce(source, '') || '-' || shard || '-' || block), block)
+          <= floor((due - repeats * words) / 32.0::DOUBLE + 0.5)),
 streamed AS (
-  SELECT s.*, p.source_size, p.target, p.repeats, floor((p.words - p.repeats * p.source_size) / 32 + 0.5)::BIGINT AS rest,
-         coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.key, s.doc_id, s.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
-  FROM sized s JOIN parts p ON p.source IS NOT DISTINCT FROM s.source),
+  SELECT p.*, row_number() OVER () AS row_id,
+         coalesce(sum(p.size) OVER (PARTITION BY p.source, p.shard ORDER BY p.key, p.doc_id, p.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+  FROM placed p),
+given AS (
+  SELECT row_id, sum(least((b + 1) * 32, start + size) - greatest(b * 32, start)) AS part
+  FROM (SELECT *, unnest(range(start // 32, (start + size - 1) // 32 + 1)) AS b FROM streamed WHERE size > 0) d
+  JOIN chosen c ON c.source IS NOT DISTINCT FROM d.source AND c.shard = d.shard AND c.block = d.b GROUP BY row_id),
 mixed AS (
-  SELECT doc_id, size, source_size, target, (repeats * size + greatest(0, least(size, rest * 32 - start)))::BIGINT AS taken, source FROM streamed)
+  SELECT s.doc_id, s.size, s.source_size, s.target, (c.repeats * s.size + coalesce(g.part, 0))::BIGINT AS taken, s.source
+  FROM streamed s LEFT JOIN given g USING (row_id) JOIN cells c ON c.source IS NOT DISTINCT FROM s.source AND c.shard = s.shard)
 """
-ORACLE["op2_mix_sources"] = "WITH " + MIX_SQL.format(docs="documents") + "SELECT doc_id, size, source_size, target, taken FROM mixed"
+ORACLE["op2_mix_sources"] = "WITH " + MIX_SQL.format(docs="documents", shard_words=mixing.SHARD_WORDS) + "SELECT doc_id, size, source_size, target, taken FROM mixed"
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

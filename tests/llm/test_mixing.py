@@ -76,12 +76,25 @@ def test_many_shards_give_the_rows_of_the_sql(spark):
 
     rng = random.Random(6)
     rows = [(i, " ".join(["w"] * rng.randrange(0, 120)), None, rng.choice(["a"] * 8 + ["b", "c", "d", None])) for i in range(600)]
-    with duckdb.connect() as db:
-        db.register("documents", pd.DataFrame([(i, t, s) for i, t, _, s in rows], columns=["doc_id", "text", "source"]))
-        want = {r[0]: (r[1], r[2], r[4]) for r in db.execute(queries.ORACLE["op2_mix_sources"]).fetchall()}
-    assert len(want) == len(rows)
-    for options in ({}, {"shard_words": 1_000}):
-        assert {r.doc_id: (r.size, r.source_size, r.taken) for r in mixing.mix(documents(spark, rows), **options).collect()} == want
+    rows += [(None, "same id", None, "a")] * 3 + [(None, f"other {i}", None, "a") for i in range(40)] + [(700, None, None, "b")]
+    for options in ({}, {"shard_words": 1_000}, {"shard_words": 150}):
+        words = options.get("shard_words", mixing.SHARD_WORDS)
+        with duckdb.connect() as db:
+            db.register("documents", pd.DataFrame([(i, t, s) for i, t, _, s in rows], columns=["doc_id", "text", "source"]).astype({"doc_id": "Int64"}))
+            sql = "WITH " + queries.MIX_SQL.format(docs="documents", shard_words=words) + "SELECT doc_id, size, source_size, taken FROM mixed"
+            want = sorted(db.execute(sql).fetchall(), key=str)
+        got = sorted(((r.doc_id, r.size, r.source_size, r.taken) for r in mixing.mix(documents(spark, rows), **options).collect()), key=str)
+        assert len(want) == len(rows) and got == want
+
+
+def test_each_shard_has_its_quota_and_blocks_are_spread(spark):
+    """With one source taken in part, every shard gives its share, from all over its stream."""
+    rows = [(i, " ".join(["w"] * 40), None, "a") for i in range(400)] + [(1000 + i, " ".join(["w"] * 40), None, s) for i, s in enumerate("bc" * 500)]
+    got = [r for r in mixing.mix(documents(spark, rows), shard_words=4_000, block_words=8).collect() if r.source == "a"]
+    taken = sorted(r.taken for r in got)
+    assert abs(sum(taken) - got[0].target) <= 64
+    # blocks are drawn one by one: most documents give some words and not all
+    assert sum(0 < t % 40 < 40 for t in taken) > 200
 
 
 def test_reruns_agree_and_odd_rows(spark):
