@@ -13,8 +13,11 @@ right carries the state and adds the logarithms.
 
 The automaton is not held whole anywhere. A shard of documents asks for the
 n-grams it meets: their keys go to buckets by hash, are summed over all
-training documents, and the sums come back aligned with the shard's keys. The
-traversal runs over a shard's token array, order by order.
+training documents, and the sums come back aligned with the shard's keys. From
+them the shard builds the states, arcs and failure arcs that its texts reach
+(:class:`Automaton`). The state before a token is the longest known context, so
+all tokens of a shard are carried forward together: those that find an arc take
+it, the others follow their failure arc, one order at a time.
 
 Words are keyed by 64-bit hashes, longer n-grams by 40 bits beside those of
 their bucket (buckets grow with the corpus): two of a million keys may share one.
@@ -84,6 +87,48 @@ def messages(keys: np.ndarray, trained: np.ndarray, order: int, bits: int, shard
     ]
 
 
+class Automaton:
+    """States, arcs and failure arcs that the tokens of a shard reach.
+
+    ``counts[k]``: training count of the (k + 1)-gram that ends at each token;
+    ``contexts[k]``: that of the k words before it (k from 1). An arc leaves a
+    state for each n-gram that was seen; the root knows every word.
+    """
+
+    def __init__(self, counts: list[np.ndarray], contexts: list[np.ndarray], root: np.ndarray, strength: tuple[float, ...]):
+        self.root = np.log10(root)
+        self.seen = [c > 0 for c in counts[1:]]
+        self.known = [c > 0 for c in contexts]
+        self.arcs, self.failures = [], []
+        p = root
+        for count, context, mu in zip(counts[1:], contexts, strength, strict=False):
+            p = (count + mu * p) / (context + mu)
+            self.arcs.append(np.log10(p))
+            self.failures.append(np.log10(mu / (context + mu)))
+
+    def states(self) -> np.ndarray:
+        """The number of words of the state before each token."""
+        state = np.zeros(len(self.root), dtype=np.int64)
+        for k, known in enumerate(self.known, 1):
+            state[known & (state == k - 1)] = k
+        return state
+
+    def traverse(self) -> np.ndarray:
+        """The log probability of each token: failure arcs, then an arc."""
+        state, total = self.states(), np.zeros(len(self.root))
+        moving = np.ones(len(state), dtype=bool)
+        for k in range(len(self.arcs), 0, -1):
+            here = moving & (state == k)
+            found = here & self.seen[k - 1]
+            total[found] += self.arcs[k - 1][found]
+            moving &= ~found
+            fails = here & ~found
+            total[fails] += self.failures[k - 1][fails]
+            state[fails] = k - 1
+        total[moving] += self.root[moving]
+        return total
+
+
 def _table(rows: list[tuple], names: tuple[str, ...]) -> pa.Table:
     types = [pa.binary() if n in ("keys", "counts") else pa.int64() for n in names]
     return pa.table([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=list(names))
@@ -162,13 +207,14 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, strength: tuple
             sums = [tk.unpack_numbers(answers["counts"][int(i)].as_py()) for i in own[np.argsort(buckets[own])]]
             found.append((np.concatenate(sums) if sums else np.zeros(0, np.int64))[np.searchsorted(every, keys)])
         base = (found[0] + 1.0) / (n_all + n_words + 1.0)
-        p = base
+        contexts = []
         for k in range(1, order):
             # the context of an n-gram is the shorter n-gram that ends one token earlier
             context = np.empty(len(tokens), dtype=np.int64)
             context[1:] = found[k - 1][:-1]
             context[starts[:-1]] = begun
-            p = (found[k] + strength[k - 1] * p) / (context + strength[k - 1])
+            contexts.append(context)
+        weights = Automaton(found, contexts, base, strength).traverse()
         total = lambda x: np.add.reduceat(x, starts[:-1]) if len(x) else np.zeros(0)
         return pa.table(
             {
@@ -178,7 +224,7 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, strength: tuple
                 "n_known": pa.array(total((found[0] > 0).astype(np.int64)), pa.int64()),
                 "train_tokens": pa.array(np.full(len(table), n_all), pa.int64()),
                 "base_score": pa.array(total(np.log10(base)), pa.float64()),
-                "score": pa.array(total(np.log10(p)), pa.float64()),
+                "score": pa.array(total(weights), pa.float64()),
             }
         )
 

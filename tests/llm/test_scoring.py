@@ -3,6 +3,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from helpers import WORDS, documents, lower
 from pyspark.sql import functions as F
@@ -55,3 +56,42 @@ def test_empty_and_all_held_out(spark):
     assert scoring.score(documents(spark, []), F.lit(False)).count() == 0
     row = scoring.score(documents(spark, [(1, "a b")]), F.lit(True)).first()
     assert (row.n_tokens, row.n_known, row.train_tokens) == (3, 0, 0) and row.score == row.base_score == 0.0
+
+
+def test_automaton_walked_token_by_token():
+    """States, arcs and failure arcs as tables, one token after the other."""
+    rng = random.Random(8)
+    texts = [[rng.choice("abcd") for _ in range(rng.randrange(1, 12))] + ["</s>"] for _ in range(40)]
+    n = {k: Counter() for k in (1, 2, 3)}
+    for t in texts[:30]:
+        padded = ["<s>", "<s>", *t]
+        for k in n:
+            n[k].update(tuple(padded[j - k + 1 : j + 1]) for j in range(2, len(padded)))
+    total, v, mu = sum(n[1].values()), len(n[1]), (3.0, 2.0)
+    def context(h):
+        return 30 if set(h) == {"<s>"} else n[len(h)][h]
+    def arc(h, w):
+        p = (n[1][(w,)] + 1) / (total + v + 1)
+        for k in range(1, len(h) + 1):
+            own = h[len(h) - k :]
+            p = (n[k + 1][(*own, w)] + mu[k - 1] * p) / (context(own) + mu[k - 1])
+        return math.log10(p)
+    want, counts, contexts = [], [[], [], []], [[], []]
+    for t in texts:
+        padded = ["<s>", "<s>", *t]
+        for j in range(2, len(padded)):
+            w, h = padded[j], tuple(padded[j - 2 : j])
+            for k in (0, 1, 2):
+                counts[k].append(n[k + 1][tuple(padded[j - k : j + 1])])
+            contexts[0].append(context(h[1:]))
+            contexts[1].append(context(h))
+            state = h if context(h) else h[1:] if context(h[1:]) else ()
+            cost = 0.0
+            while state and not n[len(state) + 1][(*state, w)]:
+                m = mu[len(state) - 1]
+                cost += math.log10(m / (context(state) + m))
+                state = state[1:]
+            want.append(cost + arc(state, w))
+    a = [np.array(c) for c in counts]
+    got = scoring.Automaton(a, [np.array(c) for c in contexts], (a[0] + 1) / (total + v + 1), mu).traverse()
+    assert np.allclose(got, want, atol=1e-12)
