@@ -72,7 +72,7 @@ def append_batch(df: DataFrame, batch_id: int, path: str, by: Sequence[str] = ()
 def append_drift(report: DataFrame, run_time: str, batch_id: int, history: str, alerts: str | None = None) -> None:
     """Add the summary of a report to the history, and an alert if there is
     drift; a repeated batch replaces what it wrote before."""
-    summary = drift_summary(report)
+    summary = materialize(drift_summary(report), "summary")  # one row; the report is computed once
     append_batch(summary.withColumn("timestamp", F.lit(run_time)), batch_id, history)
     if alerts:
         found = drift_alert(summary).filter("drift_detected")
