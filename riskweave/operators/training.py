@@ -31,6 +31,8 @@ from riskweave.session import materialize
 VECTOR, LABEL, WEIGHT, FOLD = "features", "label", "weight", "fold"
 SEED = 42
 NEIGHBOURS = 5
+#: Steps of the linear model on kernel features.
+KERNEL_ITERATIONS = 100
 #: Fits that run at once; each is a series of small Spark jobs.
 PARALLEL = 8
 
@@ -88,7 +90,9 @@ def plain_specs(n_rows: int, sizes: Sizes = Sizes()) -> dict[str, Estimator]:
         "GradientBoosting": GBTClassifier(maxIter=sizes.rounds, maxDepth=3, stepSize=0.1, seed=SEED, **_common(False)),
         "SecondOrderBoosting": second_order(sizes.newton_rounds, sizes.boost_depth + 1, 0.3),
         "LinearSVC": LinearSVC(maxIter=sizes.iterations, **_common(False)),
-        "KernelSVC": kernels.kernel_svc(VECTOR, LABEL, sizes.kernel_features, seed=SEED, maxIter=sizes.iterations, regParam=1.0 / max(n_rows, 1)),
+        "KernelSVC": kernels.kernel_svc(
+            VECTOR, LABEL, sizes.kernel_features, seed=SEED, maxIter=min(sizes.iterations, KERNEL_ITERATIONS), regParam=1.0 / max(n_rows, 1)
+        ),
     }
 
 
