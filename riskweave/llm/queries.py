@@ -57,6 +57,7 @@ FROM escaped GROUP BY conv_id
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words that each document gives to a mix of the sources by weights 1, 2, 3."""
     return mixing.mix(read(spark, sf_dir, "documents")).drop("source")
 
 
@@ -113,6 +114,7 @@ ORACLE["op2_mix_sources"] = "WITH " + MIX_SQL.format(docs="documents", shard_wor
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of each document inside windows of benchmark items."""
     return decontamination.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("digest")
 
 
@@ -140,6 +142,7 @@ ORACLE["op10_decontaminate"] = "WITH " + LEAK_SQL.format(words=WORDS_SQL, docs="
 
 
 def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log probability of each text under the automaton of the texts that are not held out."""
     return scoring.score(read(spark, sf_dir, "documents"), remainder_of(F.col("doc_id"), 7) == 2)
 
 
@@ -147,6 +150,7 @@ QUERIES["op4_lm_score"] = op4_lm_score
 
 
 def op7_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of each document."""
     return simhash.near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
@@ -154,12 +158,14 @@ QUERIES["op7_simhash_components"] = op7_simhash_components
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of each document by a machine of the labels that are not held out."""
     docs, held_out = read(spark, sf_dir, "documents"), remainder_of(F.col("doc_id"), 5) == 0
     machine = toxicity.fit(docs, read(spark, sf_dir, "labels"), held_out)
     return toxicity.score(docs, machine).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of each document by a model of the texts that are not held out."""
     docs, held_out = read(spark, sf_dir, "documents"), remainder_of(F.col("doc_id"), 5) == 0
     model = language.fit(docs, held_out)
     return language.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
@@ -170,6 +176,7 @@ QUERIES["op8_language"] = op8_language
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of the bytes of each document."""
     kept = substrings.deduplicate(read(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
     return kept.select(
@@ -181,6 +188,7 @@ QUERIES["op5_substring_dedup"] = op5_substring_dedup
 
 
 def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of each page."""
     found = html_text.main_text(read(spark, sf_dir, "pages"))
     return found.withColumn("n_chars", F.char_length("text").cast("long"))
 
@@ -189,6 +197,7 @@ QUERIES["op3_main_text"] = op3_main_text
 
 
 def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty nearest rows of each twentieth vector."""
     return neighbours.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
