@@ -160,7 +160,10 @@ def mix(
     number = F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("words") / block_words) - 1, F.lit(0))).cast("array<bigint>"))
     drawn = F.md5(F.concat_ws("-", F.lit(str(seed)), F.coalesce("_source", F.lit("")), F.col("_shard"), F.col("_block")))
     order = Window.partitionBy("_source", "_shard").orderBy(drawn, "_block")  # the blocks of one shard
-    chosen = shards.where("rest > 0").select("_source", "_shard", "rest", number.alias("_block"))
+    # dealt out before they become blocks: a table of one row a shard is read by one task
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = shards.where("rest > 0").repartition(tasks, "_source", "_shard")
+    chosen = dealt.select("_source", "_shard", "rest", number.alias("_block"))
     chosen = chosen.withColumn("place", F.row_number().over(order)).where("place <= rest").select("_source", "_shard", "_block")
     before = Window.partitionBy("source", "shard").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     streamed = placed.withColumn("start", F.coalesce(F.sum("size").over(before), F.lit(0)))
@@ -170,9 +173,10 @@ def mix(
         "source", "shard", "start", "size", F.explode(F.sequence(F.expr(f"start div {block_words}"), F.expr(f"(start + size - 1) div {block_words}"))).alias("block")
     )
     inside = F.least((F.col("block") + 1) * block_words, F.col("start") + F.col("size")) - F.greatest(F.col("block") * block_words, F.col("start"))
-    given = cut.join(chosen, here & (F.col("block") == F.col("_block"))).groupBy("source", "shard", "start").agg(F.sum(inside).alias("part"))
+    # the planner takes the blocks for as few as the shards they come from: no broadcast
+    given = cut.join(chosen.hint("merge"), here & (F.col("block") == F.col("_block"))).groupBy("source", "shard", "start").agg(F.sum(inside).alias("part"))
     given = given.select(F.col("source").alias("_of"), F.col("shard").alias("_in"), F.col("start").alias("_at"), "part")
     own = F.col("source").eqNullSafe(F.col("_of")) & (F.col("shard") == F.col("_in")) & (F.col("start") == F.col("_at")) & (F.col("size") > 0)
-    out = streamed.join(given, own, "left").join(shards.select("_source", "_shard", "repeats"), here)
+    out = streamed.join(given.hint("merge"), own, "left").join(shards.select("_source", "_shard", "repeats"), here)
     taken = (F.col("repeats") * F.col("size") + F.coalesce("part", F.lit(0))).cast("long").alias("taken")
     return out.select("doc_id", "size", "source_size", "target", taken, "source", *[F.col(f"kept_{c}").alias(c) for c in keep])
