@@ -9,12 +9,15 @@ k-th distance; then only cells whose lower bound (distance to the centre less
 the radius) does not exceed it, and whole top centres are passed over by theirs.
 The triangle inequality makes that exact wherever a vector was put, and the work
 follows the cells that remain instead of queries times rows. Cells are cut into
-blocks of bounded size; every pair of a query group and a block yields at most
-``k`` rows per query.
+blocks of bounded size, and the queries that ask a cell into parts of bounded
+size, for each of which the cell's blocks are sent; every pair of a part and a
+block yields at most ``k`` rows per query. No task holds more than one such pair.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -24,6 +27,9 @@ from riskweave.session import materialize
 
 #: The centres go to every task, so their number is bounded.
 BLOCK_ROWS, CENTRES, CELL_ROWS = 2_048, 16_384, 2_048
+#: Queries of a cell that are compared with a block together; queries that a tree
+#: is asked for, rows that are sent, and pairs that are measured at once.
+QUERY_ROWS, ASKED_AT_ONCE, SENT_AT_ONCE, PAIRS_AT_ONCE = 32_768, 256, 4_096, 65_536
 
 
 def _nearest_in_block(query: np.ndarray, train: np.ndarray, k: int, same: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -38,8 +44,12 @@ def _nearest_in_block(query: np.ndarray, train: np.ndarray, k: int, same: np.nda
     rows, cols = np.nonzero(rough <= (kth + 1e-9 * scale)[:, None])
     keep = np.isfinite(rough[rows, cols])
     rows, cols = rows[keep], cols[keep]
-    diff = query[rows] - train[cols]
-    return rows, cols, np.einsum("ij,ij->i", diff, diff)
+    d2 = np.empty(len(rows))
+    for at in range(0, len(rows), PAIRS_AT_ONCE):  # with copies nearly all pairs may be as near
+        some = slice(at, at + PAIRS_AT_ONCE)
+        diff = query[rows[some]] - train[cols[some]]
+        d2[some] = np.einsum("ij,ij->i", diff, diff)
+    return rows, cols, d2
 
 
 def _centre_distances(vectors: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -125,6 +135,41 @@ class Cells:
         self.blocks = np.maximum(1, -(-tree.size // block_rows)).astype(int)
 
 
+Choose = Callable[[pd.DataFrame, np.ndarray], list[np.ndarray]]
+
+
+def chosen_cells(batch: pd.DataFrame, choose: Choose) -> Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray]]:
+    """A few queries of a batch at a time, and the place and the cell of every request of theirs."""
+    for at in range(0, len(batch), ASKED_AT_ONCE):
+        own = batch.iloc[at : at + ASKED_AT_ONCE]
+        cells = choose(own, np.stack(own["q_vec"].to_list()))
+        place = np.repeat(np.arange(len(own)), [len(c) for c in cells])
+        yield own, place, np.concatenate(cells).astype(np.int32) if len(place) else np.zeros(0, np.int32)
+
+
+def count_requests(batches: Iterator[pd.DataFrame], choose: Choose, cells: int) -> Iterator[pd.DataFrame]:
+    """How many queries ask each cell."""
+    n = np.zeros(cells, dtype=np.int64)
+    for b in batches:
+        for _, _, cell in chosen_cells(b, choose):
+            n += np.bincount(cell, minlength=cells)
+    asked = np.flatnonzero(n)
+    yield pd.DataFrame({"cell": asked.astype(np.int32), "n": n[asked]})
+
+
+def send_requests(batches: Iterator[pd.DataFrame], choose: Choose, parts: np.ndarray) -> Iterator[pd.DataFrame]:
+    """``(q_key, q_vec, cell, part)`` in frames of bounded size; the queries of a
+    cell are dealt over its ``parts`` in turn, whatever their keys are."""
+    before = 0
+    for b in batches:
+        for own, place, cell in chosen_cells(b, choose):
+            part = ((before + place) % parts[cell]).astype(np.int32)
+            before += len(own)
+            for at in range(0, len(place), SENT_AT_ONCE):
+                some = slice(at, at + SENT_AT_ONCE)
+                yield own[["q_key", "q_vec"]].iloc[place[some]].assign(cell=cell[some], part=part[some])
+
+
 def nearest(
     train: DataFrame,
     query: DataFrame,
@@ -136,6 +181,7 @@ def nearest(
     block_rows: int = BLOCK_ROWS,
     centres: int = CENTRES,
     cell_rows: int = CELL_ROWS,
+    query_rows: int = QUERY_ROWS,
 ) -> DataFrame:
     """``(query_key, train_key, distance, rank[, payload])`` for the k nearest.
 
@@ -179,21 +225,24 @@ def nearest(
 
     tree = cells.tree
 
-    def send(choose):
-        def local(batches):
-            for b in batches:
-                chosen = choose(b, np.stack(b["q_vec"].to_list()))
-                at = np.repeat(np.arange(len(b)), [len(c) for c in chosen])
-                yield b[["q_key", "q_vec"]].iloc[at].assign(cell=np.concatenate(chosen).astype(np.int32) if len(at) else np.zeros(0, np.int32))
-
-        return local
-
-    def search(asked: DataFrame) -> DataFrame:
+    few = q.limit(query_rows + 1).count() <= query_rows
+
+    def search(asking: DataFrame, choose: Choose) -> DataFrame:
+        parts, held = np.ones(len(tree.centres), dtype=np.int64), stored.withColumn("part", F.lit(0))
+        if not few:
+            # one row per centre
+            requests = asking.mapInPandas(lambda batches: count_requests(batches, choose, len(parts)), "cell int, n long")
+            for r in requests.groupBy("cell").agg(F.sum("n").alias("n")).collect():
+                parts[r["cell"]] = -(-r["n"] // query_rows)
+            table = asking.sparkSession.createDataFrame([(c, n) for c, n in enumerate(parts.tolist())], "cell int, parts long")
+            last = (F.col("parts") - 1).cast("int")
+            held = stored.join(F.broadcast(table), "cell").withColumn("part", F.explode(F.sequence(F.lit(0), last))).drop("parts")
+        asked = asking.mapInPandas(lambda batches: send_requests(batches, choose, parts), f"q_key {query_kind}, q_vec array<double>, cell int, part int")
         spread = asked.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        return spread.groupBy("cell", "block").cogroup(stored.groupBy("cell", "block")).applyInPandas(best_of_pair, schema)
+        by = ["cell", "block", "part"]
+        return spread.groupBy(*by).cogroup(held.groupBy(*by)).applyInPandas(best_of_pair, schema)
 
-    sent = f"q_key {query_kind}, q_vec array<double>, cell int"
-    near = search(q.mapInPandas(send(lambda b, x: tree.first(x, need)), sent))
+    near = search(q, lambda b, x: tree.first(x, need))
     if len(tree.centres) == 1:
         return _ranked(near, k, extra)
     near = materialize(near, "near")
@@ -206,7 +255,7 @@ def nearest(
         return [np.setdiff1d(w, s, assume_unique=True) for w, s in zip(wide, seen, strict=True)]
 
     bounded = q.join(bound, "q_key", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
-    far = search(bounded.mapInPandas(send(rest), sent))
+    far = search(bounded, rest)
     return _ranked(near.unionByName(far), k, extra)
 
 

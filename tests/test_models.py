@@ -2,6 +2,7 @@ import itertools
 from math import factorial
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.sql import functions as F
@@ -235,3 +236,30 @@ def test_stack_package_scores_raw_rows(spark, churn, tmp_path):
         assert r["prediction"] == int(direct[r["id"]] >= 0.3)
     info = scoring.model_info(store, "churn").first().asDict()
     assert (info["model_name"], info["model_version"], info["threshold"], info["n_features"]) == ("Stacking", 1, 0.3, len(names))
+
+
+def test_requests_are_sent_in_bounded_frames_and_parts():
+    rng = np.random.default_rng(3)
+    asked = pd.DataFrame({"q_key": np.zeros(700, np.int64), "q_vec": list(rng.normal(size=(700, 4)))})
+    every = [np.arange(40)]
+    parts = np.full(40, 7)
+    frames = list(neighbors.send_requests(iter([asked[:300], asked[300:]]), lambda b, x: every * len(b), parts))
+    assert max(map(len, frames)) <= neighbors.SENT_AT_ONCE < 700 * 40
+    sent = pd.concat(frames)
+    # one key for all queries: the parts of a cell are still even
+    assert sent.groupby(["cell", "part"]).size().tolist() == [100] * 280
+    counted = pd.concat(neighbors.count_requests(iter([asked[:300], asked[300:]]), lambda b, x: every * len(b), 50))
+    assert counted["n"].tolist() == [700] * 40
+
+
+def test_neighbours_of_queries_dealt_over_parts(spark):
+    rng = np.random.default_rng(5)
+    x = rng.integers(-20, 20, (400, 3)).astype(float)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "id long, v array<double>").repartition(3)
+    got = {}
+    for r in neighbors.nearest(df, df, "id", "v", 4, exclude_same_key=True, cell_rows=20, block_rows=30, query_rows=16).collect():
+        got.setdefault(r["query_key"], []).append((r["rank"], r["train_key"], round(r["distance"], 9)))
+    for q in range(400):
+        d = ((x - x[q]) ** 2).sum(1)
+        nearest = sorted((d[t], t) for t in range(400) if t != q)[:4]
+        assert [t for _, t, _ in sorted(got[q])] == [t for _, t in nearest]
