@@ -29,7 +29,7 @@ from riskweave.session import materialize
 BLOCK_ROWS, CENTRES, CELL_ROWS = 2_048, 16_384, 2_048
 #: Queries of a cell that are compared with a block together; queries that a tree
 #: is asked for, rows that are sent, and pairs that are measured at once.
-QUERY_ROWS, ASKED_AT_ONCE, SENT_AT_ONCE, PAIRS_AT_ONCE = 32_768, 256, 4_096, 65_536
+QUERY_ROWS, ASKED_AT_ONCE, SENT_AT_ONCE, PAIRS_AT_ONCE = 8_192, 256, 4_096, 65_536
 
 
 def _nearest_in_block(query: np.ndarray, train: np.ndarray, k: int, same: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
