@@ -200,3 +200,22 @@ def test_only_text_of_a_page_stays_whatever_it_is_called(spark):
     rows, texts = site("o.example", 12, "<div class='related-stories'><p>{text}</p></div>")
     got = run(spark, rows)
     assert [got[r[0], r[1]] for r in rows] == texts
+
+
+def test_lines_of_articles_are_counted_over_all_shards_of_a_host(spark):
+    """A line of most articles of a host that is dealt over shards with hardly any pages goes as on a small host."""
+    line = "please follow our channel for more of these stories"
+    rows, texts = site("large.example", 60, f"<div>this notice stands on every page of the place</div><article><p>{{text}}</p><p>{line}</p></article><p>{{more}}</p>")
+    rare = "these words stand on some of the articles only"
+    rows = [(i, u, h.replace("</article>", f"<p>{rare}</p><p>more for of channel our follow please {i}</p></article>") if i % 3 else h) for i, u, h in rows]
+    copies = [(100 + i, f"http://large.example/copy{i}", rows[i][2]) for i in range(12)]
+    whole = run(spark, rows + copies)
+    assert line not in whole[rows[0][0], rows[0][1]]
+    for shard_bytes in (1000, 8000):
+        split = run(spark, rows + copies, shard_bytes=shard_bytes)
+        assert split == whole
+    assert [split[r[0], r[1]].startswith(t) for r, t in zip(rows, texts, strict=True)] == [True] * 60
+    assert sum(rare in t for t in split.values()) == 0 and not any(line in t for t in split.values())
+    few = [(i, u, h.replace(rare, "") if i % 9 else h) for i, u, h in rows]
+    split = run(spark, few, shard_bytes=1000)
+    assert split == run(spark, few) and sum(rare in t for t in split.values()) == sum(rare in h for _, _, h in few)
