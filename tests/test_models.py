@@ -263,3 +263,19 @@ def test_neighbours_of_queries_dealt_over_parts(spark):
         d = ((x - x[q]) ** 2).sum(1)
         nearest = sorted((d[t], t) for t in range(400) if t != q)[:4]
         assert [t for _, t, _ in sorted(got[q])] == [t for _, t in nearest]
+
+
+def test_large_training_tables_are_dealt_over_the_cores_and_small_ones_stay(spark, monkeypatch):
+    few = spark.range(400).coalesce(1)
+    monkeypatch.setattr(training, "ROWS_A_PART", 100)
+    dealt = training.written(few, "few")
+    counts = [len(p) for p in dealt.rdd.glom().collect()]
+    assert len(counts) == 4 and max(counts) < 150 and sorted(r["id"] for r in dealt.collect()) == list(range(400))
+    monkeypatch.setattr(training, "ROWS_A_PART", 500)
+    assert training.written(few, "few").rdd.getNumPartitions() == 1
+
+
+def test_longest_fits_begin_first_and_deep_forests_keep_nodes():
+    specs = training.stacking_specs(100)
+    assert sorted(specs, key=lambda n: -training._steps(specs[n])) == ["lr", "deep", "gb", "rf"]
+    assert training.plain_specs(100)["RandomForest"].getCacheNodeIds()
