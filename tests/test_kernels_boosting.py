@@ -129,3 +129,27 @@ def test_one_class_and_no_rows(spark):
     assert all(set(t) == {1} and t[1]["value"] > 0 for t in model.nodes())
     empty = same.where("id < 0")
     assert boosting.SecondOrderBoosting(maxIter=2).fit(empty).transform(same).select("prediction").distinct().collect()[0][0] == 0.0
+
+
+def test_equal_rows_are_one_and_a_level_is_summed_by_tasks(spark):
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=(40, 2)), 1)
+    x[::7, 1] = np.nan
+    y = (x[:, 0] > 0).astype(float)
+    df = vectors(spark, np.tile(x, (30, 1)), np.tile(y, 30))
+    seen = []
+    grow = boosting.SecondOrderBoosting._grow
+    spec = boosting.SecondOrderBoosting(maxIter=2, maxDepth=2, maxBins=64)
+    spec._grow = lambda rows, *rest: seen.append(rows.count()) or grow(spec, rows, *rest)
+    model = spec._fit(df)
+    assert max(seen) <= 40 and len(model.nodes()) == 2
+    values = vector_to_array("features")
+    edges = boosting.quantile_edges(df, [values[i] for i in range(2)], 64)
+    want = plain_boosting(np.tile(x, (30, 1)), np.tile(y, 30), np.ones(1200), edges, 2, 2, 0.3, 1.0, 1.0)
+    got = [r["m"] for r in model.transform(df).select("id", vector_to_array("rawPrediction")[1].alias("m")).orderBy("id").collect()]
+    assert got == pytest.approx(list(want), abs=1e-9)
+    # a task yields a row a node, feature and bin at most
+    bins = df.select("id", *[boosting.bin_of(values[i], edges[i]).alias(f"b{i}") for i in range(2)], F.lit(0.5).alias("g")).coalesce(1)
+    plan = bins.selectExpr("1 AS node", "g AS _g", "g AS _h", "CAST(coalesce(b0, -1) AS bigint) AS _b0", "CAST(coalesce(b1, -1) AS bigint) AS _b1").toArrow().to_batches(100)
+    summed = list(boosting._task_sums(iter(plan), ["_b0", "_b1"]))
+    assert len(summed) == 1 and summed[0].num_rows < 100 and sum(summed[0]["g"].to_pylist()) == pytest.approx(1200)
