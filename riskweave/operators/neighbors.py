@@ -8,10 +8,15 @@ query first searches near cells until they hold ``k`` rows, which bounds its
 k-th distance; then only cells whose lower bound (distance to the centre less
 the radius) does not exceed it, and whole top centres are passed over by theirs.
 The triangle inequality makes that exact wherever a vector was put, and the work
-follows the cells that remain instead of queries times rows. Cells are cut into
-blocks of bounded size, and the queries that ask a cell into parts of bounded
-size, for each of which the cell's blocks are sent; every pair of a part and a
-block yields at most ``k`` rows per query. No task holds more than one such pair.
+follows the cells that remain instead of queries times rows.
+
+For the near cells, cells are cut into blocks of bounded size, and the queries that
+ask a cell into parts of bounded size, for each of which the cell's blocks are sent.
+For all others, queries near each other make large parts and cells near each other
+large chunks, both bounded in bytes: a part is sent once for a chunk that it needs
+and a cell once for a part, whatever the number of cells that a query asks, and a
+task keeps the ``k`` best rows of its queries over the whole chunk. No task holds
+more than one pair of a part and a block or chunk.
 """
 
 from __future__ import annotations
@@ -30,6 +35,12 @@ BLOCK_ROWS, CENTRES, CELL_ROWS = 2_048, 16_384, 2_048
 #: Queries of a cell that are compared with a block together; queries that a tree
 #: is asked for, rows that are sent, and pairs that are measured at once.
 QUERY_ROWS, ASKED_AT_ONCE, SENT_AT_ONCE, PAIRS_AT_ONCE = 8_192, 256, 4_096, 65_536
+#: Bytes of the vectors, as doubles, of a part of queries; a chunk of cells has twice as many.
+PART_BYTES, PART_ROWS = 16 << 20, 4_096
+
+
+def _stacked(vectors: pd.Series) -> np.ndarray:
+    return np.stack(vectors.to_list()).astype(np.float64)
 
 
 def _nearest_in_block(query: np.ndarray, train: np.ndarray, k: int, same: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -123,7 +134,7 @@ class Cells:
 
         def assign(batches):
             for b in batches:
-                cell, away = tree.place(np.stack(b[vector].to_list()))
+                cell, away = tree.place(_stacked(b[vector]))
                 yield b.assign(cell=cell.astype(np.int32), away=away)
 
         schema = ", ".join(f"{c} {t}" for c, t in rows.dtypes) + ", cell int, away double"
@@ -135,6 +146,84 @@ class Cells:
         self.blocks = np.maximum(1, -(-tree.size // block_rows)).astype(int)
 
 
+    def spans(self, rows: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+        """Cells in the order of their top centres, put together until they hold
+        ``limit`` of the ``rows`` counted for each: the first group of each cell, and
+        over how many it goes."""
+        order = np.concatenate(self.tree.members)
+        begin = np.cumsum(rows[order]) - rows[order]
+        first, many = np.zeros((2, len(rows)), dtype=np.int64)
+        first[order] = begin // limit
+        many[order] = np.maximum(1, (begin + rows[order] - 1) // limit - begin // limit + 1)
+        return first, many
+
+
+def best_in_chunk(left: pd.DataFrame, right: pd.DataFrame, tree: Tree, k: int, exclude_same_key: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Place of the query, place of the row and squared distance of the ``k`` best
+    rows of a chunk for each query that are not beyond its ``bound`` (squared)."""
+    a, a_key, bound = _stacked(left["q_vec"]), left["q_key"].to_numpy(), left["bound"].to_numpy().copy()
+    b, b_key, cell = _stacked(right["t_vec"]), right["t_key"].to_numpy(), right["cell"].to_numpy()
+    order = pd.factorize(b_key, sort=True)[0]  # of equal distances the smaller key
+    by_cell = np.argsort(cell, kind="stable")
+    a2, b2 = (a**2).sum(1), (b**2).sum(1)
+    slack = 1e-9 * (1.0 + a2.max() + b2.max() + (tree.centres**2).sum(1).max())
+    held = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    for rows in np.split(by_cell, np.flatnonzero(np.diff(cell[by_cell])) + 1):
+        centre = tree.centres[cell[rows[:1]]]
+        away = _centre_distances(a, centre)[:, 0] - tree.radius[cell[rows[0]]]
+        asked = np.flatnonzero(away <= np.sqrt(bound) + np.sqrt(slack))
+        for at in range(0, len(rows), BLOCK_ROWS):
+            block = rows[at : at + BLOCK_ROWS]
+            for begin in range(0, len(asked), BLOCK_ROWS):
+                own = asked[begin : begin + BLOCK_ROWS]
+                free = np.isinf(bound[own])
+                if free.any():  # no bound yet: the nearest of this block
+                    some = own[free]
+                    same = a_key[some][:, None] == b_key[block][None, :] if exclude_same_key else None
+                    r, c, d2 = _nearest_in_block(a[some], b[block], k, same)
+                    held = _kept(held, some[r], block[c], d2, order, bound, k)
+                    own = own[~free]
+                if not len(own):
+                    continue
+                rough = a2[own][:, None] + b2[block][None, :] - 2.0 * a[own] @ b[block].T
+                r, c = np.nonzero(rough <= (bound[own] + slack)[:, None])
+                r, c = own[r], block[c]
+                if exclude_same_key:
+                    other = a_key[r] != b_key[c]
+                    r, c = r[other], c[other]
+                d2 = np.empty(len(r))
+                for i in range(0, len(r), PAIRS_AT_ONCE):
+                    diff = a[r[i : i + PAIRS_AT_ONCE]] - b[c[i : i + PAIRS_AT_ONCE]]
+                    d2[i : i + PAIRS_AT_ONCE] = np.einsum("ij,ij->i", diff, diff)
+                near = d2 <= bound[r]
+                held = _kept(held, r[near], c[near], d2[near], order, bound, k)
+    return _best(*held, order, k)
+
+
+def _best(r: np.ndarray, c: np.ndarray, d2: np.ndarray, order: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best rows of each query, in the order of the queries."""
+    at = np.lexsort((order[c], d2, r))
+    r, c, d2 = r[at], c[at], d2[at]
+    first = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]])) if len(r) else np.zeros(0, np.int64)
+    rank = np.arange(len(r)) - np.repeat(first, np.diff(np.append(first, len(r))))
+    return r[rank < k], c[rank < k], d2[rank < k]
+
+
+def _kept(held: tuple, r: np.ndarray, c: np.ndarray, d2: np.ndarray, order: np.ndarray, bound: np.ndarray, k: int) -> tuple:
+    """Adds rows; the k best of a query that are known lower its bound."""
+    if not len(r):
+        return held
+    r, c, d2 = _best(r, c, d2, order, k)
+    held = tuple(np.concatenate(x) for x in zip(held, (r, c, d2), strict=True))
+    if len(held[0]) > 4 * k * len(bound):
+        held = _best(*held, order, k)
+        r, d2 = held[0], held[2]
+    # the last of k rows of a query
+    last = np.flatnonzero(r[k - 1 :] == r[: max(0, len(r) - k + 1)]) + k - 1
+    bound[r[last]] = np.minimum(bound[r[last]], d2[last])
+    return held
+
+
 Choose = Callable[[pd.DataFrame, np.ndarray], list[np.ndarray]]
 
 
@@ -142,7 +231,7 @@ def chosen_cells(batch: pd.DataFrame, choose: Choose) -> Iterator[tuple[pd.DataF
     """A few queries of a batch at a time, and the place and the cell of every request of theirs."""
     for at in range(0, len(batch), ASKED_AT_ONCE):
         own = batch.iloc[at : at + ASKED_AT_ONCE]
-        cells = choose(own, np.stack(own["q_vec"].to_list()))
+        cells = choose(own, _stacked(own["q_vec"]))
         place = np.repeat(np.arange(len(own)), [len(c) for c in cells])
         yield own, place, np.concatenate(cells).astype(np.int32) if len(place) else np.zeros(0, np.int32)
 
@@ -182,6 +271,7 @@ def nearest(
     centres: int = CENTRES,
     cell_rows: int = CELL_ROWS,
     query_rows: int = QUERY_ROWS,
+    part_bytes: int = PART_BYTES,
 ) -> DataFrame:
     """``(query_key, train_key, distance, rank[, payload])`` for the k nearest.
 
@@ -190,10 +280,13 @@ def nearest(
     training rows, and at most ``centres``; the result is the same for any number.
     """
     extra = [payload] if payload else []
+    # tasks compute with doubles; floats are sent as floats
+    narrow = dict(train.dtypes)[vector] == dict(query.dtypes)[vector] == "array<float>"
+    kind_of_vector = "array<float>" if narrow else "array<double>"
     t = train.filter(F.col(vector).isNotNull()).select(
-        F.col(key).alias("t_key"), F.col(vector).cast("array<double>").alias("t_vec"), *[F.col(p).alias("t_payload") for p in extra]
+        F.col(key).alias("t_key"), F.col(vector).cast(kind_of_vector).alias("t_vec"), *[F.col(p).alias("t_payload") for p in extra]
     )
-    q = query.filter(F.col(vector).isNotNull()).select(F.col(key).alias("q_key"), F.col(vector).cast("array<double>").alias("q_vec"))
+    q = query.filter(F.col(vector).isNotNull()).select(F.col(key).alias("q_key"), F.col(vector).cast(kind_of_vector).alias("q_vec"))
     cells = Cells(t, "t_vec", max(1, min(centres, t.count() // cell_rows)), block_rows)
     kind, query_kind = dict(t.dtypes), dict(q.dtypes)["q_key"]
     columns = ["q_key", "t_key", "d2", *(["t_payload"] if extra else [])]
@@ -210,11 +303,11 @@ def nearest(
     def best_of_pair(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame(columns=columns)
-        b, b_key = np.stack(right["t_vec"].to_list()), right["t_key"].to_numpy()
+        b, b_key = _stacked(right["t_vec"]), right["t_key"].to_numpy()
         parts = []
         for at in range(0, len(left), BLOCK_ROWS):
             own = left.iloc[at : at + BLOCK_ROWS]
-            a, a_key = np.stack(own["q_vec"].to_list()), own["q_key"].to_numpy()
+            a, a_key = _stacked(own["q_vec"]), own["q_key"].to_numpy()
             same = a_key[:, None] == b_key[None, :] if exclude_same_key else None
             rows, cols, d2 = _nearest_in_block(a, b, k, same)
             out = pd.DataFrame({"q_key": a_key[rows], "t_key": b_key[cols], "d2": d2})
@@ -237,7 +330,7 @@ def nearest(
             table = asking.sparkSession.createDataFrame([(c, n) for c, n in enumerate(parts.tolist())], "cell int, parts long")
             last = (F.col("parts") - 1).cast("int")
             held = stored.join(F.broadcast(table), "cell").withColumn("part", F.explode(F.sequence(F.lit(0), last))).drop("parts")
-        asked = asking.mapInPandas(lambda batches: send_requests(batches, choose, parts), f"q_key {query_kind}, q_vec array<double>, cell int, part int")
+        asked = asking.mapInPandas(lambda batches: send_requests(batches, choose, parts), f"q_key {query_kind}, q_vec {kind_of_vector}, cell int, part int")
         spread = asked.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
         by = ["cell", "block", "part"]
         return spread.groupBy(*by).cogroup(held.groupBy(*by)).applyInPandas(best_of_pair, schema)
@@ -245,18 +338,57 @@ def nearest(
     near = search(q, lambda b, x: tree.first(x, need))
     if len(tree.centres) == 1:
         return _ranked(near, k, extra)
-    near = materialize(near, "near")
     rank = F.row_number().over(Window.partitionBy("q_key").orderBy("d2", "t_key"))
-    bound = near.withColumn("rank", rank).filter(F.col("rank") == k).select("q_key", F.sqrt("d2").alias("bound"))
+    bound = near.withColumn("rank", rank).filter(F.col("rank") == k).select("q_key", F.col("d2").alias("bound"))
+    bounded = q.join(bound, "q_key", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
 
-    def rest(b: pd.DataFrame, x: np.ndarray) -> list[np.ndarray]:
-        seen = tree.first(x, need)
-        wide = tree.within(x, b["bound"].to_numpy())
-        return [np.setdiff1d(w, s, assume_unique=True) for w, s in zip(wide, seen, strict=True)]
+    def home(batches):
+        for b in batches:
+            yield b.assign(cell=tree.place(_stacked(b["q_vec"]))[0].astype(np.int32))
+
+    query_schema = f"q_key {query_kind}, q_vec {kind_of_vector}, bound double"
+    homes = materialize(bounded.mapInPandas(home, query_schema + ", cell int"), "queries")
+    # one row per centre
+    asking = np.zeros(len(tree.centres), dtype=np.int64)
+    for r in homes.groupBy("cell").count().collect():
+        asking[r["cell"]] = r["count"]
+    most = max(1, part_bytes // (8 * tree.centres.shape[1]))
+    part_rows = min(most, max(PART_ROWS, -(-int(asking.sum()) // q.sparkSession.sparkContext.defaultParallelism)))
+    first, many = cells.spans(asking, part_rows)
+    first_chunk, chunks = cells.spans(tree.size, 2 * most)
+
+    def deal(batches):
+        before = 0
+        for b in batches:
+            cell = b["cell"].to_numpy()
+            yield b.drop(columns="cell").assign(part=(first[cell] + (before + np.arange(len(b))) % many[cell]).astype(np.int32))
+            before += len(b)
+
+    parts = materialize(homes.mapInPandas(deal, query_schema + ", part int"), "parts")
+
+    def wanted(batches):
+        for b in batches:
+            for own, place, cell in chosen_cells(b, lambda own, x: tree.within(x, np.sqrt(own["bound"].to_numpy()))):
+                yield pd.DataFrame({"part": own["part"].to_numpy()[place], "cell": cell}).drop_duplicates()
+
+    wants = materialize(parts.mapInPandas(wanted, "part int, cell int").distinct(), "wanted")
+    table = [(c, int(f), int(n)) for c, (f, n) in enumerate(zip(first_chunk, chunks, strict=True))]
+    spans = F.broadcast(q.sparkSession.createDataFrame(table, "cell int, first int, many int"))
+    whole = wants.join(spans, "cell").select("part", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("many") - 1)).alias("chunk")).distinct()
+    left = parts.join(whole, "part")
+    right = cells.rows.drop("away").join(spans, "cell").withColumn("chunk", (F.col("first") + F.pmod(F.xxhash64("t_key"), F.col("many"))).cast("int"))
+    right = right.drop("first", "many").join(wants, "cell")
+
+    def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty or right.empty:
+            return pd.DataFrame(columns=columns)
+        r, c, d2 = best_in_chunk(left, right, tree, k, exclude_same_key)
+        out = pd.DataFrame({"q_key": left["q_key"].to_numpy()[r], "t_key": right["t_key"].to_numpy()[c], "d2": d2})
+        return out.assign(t_payload=right["t_payload"].to_numpy()[c]) if extra else out
 
-    bounded = q.join(bound, "q_key", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
-    far = search(bounded, rest)
-    return _ranked(near.unionByName(far), k, extra)
+    # the rows of the near cells are among them
+    found = left.groupBy("part", "chunk").cogroup(right.groupBy("part", "chunk")).applyInPandas(best, schema)
+    return _ranked(found, k, extra)
 
 
 def _ranked(found: DataFrame, k: int, extra: list[str]) -> DataFrame:

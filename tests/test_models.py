@@ -279,3 +279,30 @@ def test_longest_fits_begin_first_and_deep_forests_keep_nodes():
     specs = training.stacking_specs(100)
     assert sorted(specs, key=lambda n: -training._steps(specs[n])) == ["lr", "deep", "gb", "rf"]
     assert training.plain_specs(100)["RandomForest"].getCacheNodeIds()
+
+
+def test_rows_and_queries_are_sent_once_for_a_large_group(spark):
+    """Every query asks nearly every cell: what is sent follows the parts and chunks, not the cells."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(1500, 12)).astype(np.float32).astype(float)
+    x[700:720] = x[0]
+    df = spark.createDataFrame([(i, v, i % 4) for i, v in enumerate(x.tolist())], "id long, v array<float>, y int").repartition(3)
+    for part_bytes in (8 * 12 * 200, neighbors.PART_BYTES):
+        found = neighbors.nearest(df, df, "id", "v", 4, "y", exclude_same_key=True, cell_rows=40, part_bytes=part_bytes)
+        got = {}
+        for r in found.collect():
+            got.setdefault(r["query_key"], []).append((r["rank"], r["train_key"], r["y"]))
+        for q in range(1500):
+            d = ((x - x[q]) ** 2).sum(1)
+            d[q] = np.inf
+            assert sorted(got[q]) == [(n + 1, t, t % 4) for n, t in enumerate(np.lexsort((np.arange(1500), d))[:4])]
+
+
+def test_cells_are_put_together_up_to_a_limit():
+    cells = object.__new__(neighbors.Cells)
+    cells.tree = neighbors.Tree(np.arange(6.0)[:, None])
+    order = np.concatenate(cells.tree.members)
+    rows = np.zeros(6, np.int64)
+    rows[order] = [3, 4, 0, 25, 2, 1]
+    first, many = cells.spans(rows, 10)
+    assert first[order].tolist() == [0, 0, 0, 0, 3, 3] and many[order].tolist() == [1, 1, 1, 4, 1, 1]
